@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title_words
 from vinlake.operators.quality import failures_of, offending, row_counts
 from vinlake.plans import checks, core, serving
-from vinlake.plans.models import all_models
-from vinlake.plans.trial_tables import AS_OF, trial_tables
+from vinlake.plans.models import Models
+from vinlake.plans.trial_tables import AS_OF, raw_customer_addresses, source, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def models(spark: SparkSession, folder: str) -> Models:
     """All tables and models over the tables of a folder, as of the fixed day."""
-    return all_models(trial_tables(spark, folder), F.lit(AS_OF).cast("date"))
+    return Models(spark, trial_tables(spark, folder), F.lit(AS_OF).cast("date"))
 
 
 def _model(name: str) -> Query:
@@ -56,7 +56,7 @@ def service_types_used(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def readiness(spark: SparkSession, folder: str) -> DataFrame:
-    return row_counts(trial_tables(spark, folder))
+    return row_counts({name: table() for name, table in trial_tables(spark, folder).items()})
 
 
 def flag_rates(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +81,7 @@ def report_rows_with_invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 def address_title_case(spark: SparkSession, folder: str) -> DataFrame:
     """City and province as the landing job writes them, from addresses in mixed case."""
-    rows = trial_tables(spark, folder)["raw_customer_addresses"]
+    rows = raw_customer_addresses(spark, folder)
     odd = F.col("id").cast("bigint") % 2 == 1
     city = F.when(odd, F.upper("city")).otherwise(F.concat(F.lit(" rt/rw "), F.lower("city")))
     province = F.when(odd, F.concat(F.lit("o'neil-"), F.lower("province"))).otherwise(F.lit("NULL"))
@@ -94,7 +94,7 @@ def address_title_case(spark: SparkSession, folder: str) -> DataFrame:
 
 def landing_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     """Timestamps parsed from texts in every shape the landing job knows, and in none."""
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_orderdate")
+    orders = source(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     day = F.col("o_orderdate")
     text = F.expr(
         """CASE o_orderkey % 7 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')

@@ -1,29 +1,57 @@
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from vinlake.plans import core, intermediate, serving, staging
 
+STAGING = ("stg_customers", "stg_sales", "stg_after_sales", "stg_customer_addresses")
+INTERMEDIATE = ("int_customer_enriched", "int_sales_enriched")
+DIMENSIONS = ("dim_customer", "dim_vehicle", "dim_date", "dim_service_type")
+FACTS = ("fact_sales", "fact_after_sales")
+REPORTS = ("mart_sales_summary", "mart_aftersales_priority")
 
-def all_models(raw: Mapping[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
-    """Raw tables and all models by name, as lazy plans that refer to each other."""
-    sales, tickets = raw["raw_sales"], raw["raw_after_sales"]
-    spark = sales.sparkSession
-    models = dict(raw)
-    models["stg_customers"] = customers = staging.stg_customers(raw["raw_customers"])
-    models["stg_sales"] = staging.stg_sales(sales)
-    models["stg_after_sales"] = staging.stg_after_sales(tickets, sales, as_of)
-    models["stg_customer_addresses"] = staging.stg_customer_addresses(raw["raw_customer_addresses"])
-    models["int_customer_enriched"] = intermediate.int_customer_enriched(customers, models["stg_customer_addresses"])
-    models["int_sales_enriched"] = intermediate.int_sales_enriched(sales, customers)
-    models["dim_customer"] = core.dim_customer(models["int_customer_enriched"])
-    models["dim_date"] = core.dim_date(spark)
-    models["dim_service_type"] = core.dim_service_type(spark)
-    models["fact_sales"] = core.fact_sales(sales, customers)
-    models["fact_after_sales"] = core.fact_after_sales(models["stg_after_sales"])
-    models["dim_vehicle"] = core.dim_vehicle(models["fact_sales"])
-    models["mart_sales_summary"] = serving.mart_sales_summary(models["fact_sales"])
-    models["mart_aftersales_priority"] = serving.mart_aftersales_priority(
-        models["fact_after_sales"], models["dim_customer"]
-    )
-    return models
+
+class Models(Mapping[str, DataFrame]):
+    """Raw tables and models by name. A model refers to others by name and is planned on first use.
+
+    Setting a name replaces what later models read under it, for instance by a table on disk that
+    holds the model's rows.
+    """
+
+    def __init__(self, spark: SparkSession, raw: Mapping[str, Callable[[], DataFrame]], as_of: Column | None = None):
+        self._made: dict[str, DataFrame] = {}
+        self._makers: dict[str, Callable[[], DataFrame]] = {
+            **raw,
+            "stg_customers": lambda: staging.stg_customers(self["raw_customers"]),
+            "stg_sales": lambda: staging.stg_sales(self["raw_sales"]),
+            "stg_after_sales": lambda: staging.stg_after_sales(self["raw_after_sales"], self["raw_sales"], as_of),
+            "stg_customer_addresses": lambda: staging.stg_customer_addresses(self["raw_customer_addresses"]),
+            "int_customer_enriched": lambda: intermediate.int_customer_enriched(
+                self["stg_customers"], self["stg_customer_addresses"]
+            ),
+            "int_sales_enriched": lambda: intermediate.int_sales_enriched(self["raw_sales"], self["stg_customers"]),
+            "dim_customer": lambda: core.dim_customer(self["int_customer_enriched"]),
+            "dim_date": lambda: core.dim_date(spark),
+            "dim_service_type": lambda: core.dim_service_type(spark),
+            "fact_sales": lambda: core.fact_sales(self["raw_sales"], self["stg_customers"]),
+            "fact_after_sales": lambda: core.fact_after_sales(self["stg_after_sales"]),
+            "dim_vehicle": lambda: core.dim_vehicle(self["fact_sales"]),
+            "mart_sales_summary": lambda: serving.mart_sales_summary(self["fact_sales"]),
+            "mart_aftersales_priority": lambda: serving.mart_aftersales_priority(
+                self["fact_after_sales"], self["dim_customer"]
+            ),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __setitem__(self, name: str, rows: DataFrame) -> None:
+        self._made[name] = rows
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
