@@ -47,7 +47,7 @@ CALENDAR_TO = "2027-12-31"
 
 # Landing files.
 LANDING_PIPELINE = "customer_addresses"
-LANDING_GLOB = "customer_addresses_{}.csv"
+LANDING_GLOB = "customer_addresses_{}.{}"  # day, extension
 LANDING_NAME = r"^customer_addresses_\d{8}\.csv\z"
 
 # Texts that the CSV reader of the landing job takes for a missing value.

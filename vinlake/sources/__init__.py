@@ -1,0 +1 @@
+"""Reading raw data, landing it, and writing tables."""

@@ -1,0 +1 @@
+"""The address drop as a stream of files."""
