@@ -1,6 +1,7 @@
 """Finding and reading files of a drop folder."""
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "mode": "PE
 def find_files(spark: SparkSession, folder: str, day: str = "*", kind: str = "csv") -> DataFrame:
     """Files of a day (``yyyymmdd``), or of any day, by name. Their content is not read.
 
-    ``kind`` is a file extension, or several: ``{csv,xlsx}``.
+    ``kind`` is a file extension, or several: ``{csv,xlsx}``. Scans pass over empty files.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", LANDING_GLOB.format(day, kind)).load(folder)
     return files.select(
@@ -22,6 +23,12 @@ def find_files(spark: SparkSession, folder: str, day: str = "*", kind: str = "cs
     )
 
 
+def list_files(spark: SparkSession, folder: str, day: str = "*") -> DataFrame:
+    """The same with empty files, from the list of files that Spark keeps for a scan."""
+    paths = [unquote(path) for path in find_files(spark, folder, day).inputFiles()]
+    return spark.createDataFrame([(path, path.rsplit("/", 1)[-1]) for path in paths], "path STRING, source_file STRING")
+
+
 def well_named(files: DataFrame) -> DataFrame:
     """Files whose name carries a full date."""
     return files.where(F.col("source_file").rlike(LANDING_NAME))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vinlake.fixed_values import LANDING_PIPELINE
 from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title_words
 from vinlake.schemas import AUDIT_LOG, LANDED_ADDRESSES, RAW_CUSTOMER_ADDRESSES
-from vinlake.sources.files import find_files, read_text_columns, well_named
+from vinlake.sources.files import list_files, read_text_columns, well_named
 from vinlake.sources.tables import empty_table, replace_partitions
 
 FILES_PER_LOAD = 1000  # bounds what one load keeps per file on the driver: name, header, counts
@@ -178,6 +178,6 @@ def pending_paths(files: DataFrame, audit: DataFrame) -> list[str]:
 def land_addresses(spark: SparkSession, folder: str, landing: str, audit: str, day: str = "*") -> None:
     """Load the files of a day, or all, that were not loaded before."""
     make_tables(spark, landing, audit)
-    paths = pending_paths(find_files(spark, folder, day), read_audit(spark, audit))
+    paths = pending_paths(list_files(spark, folder, day), read_audit(spark, audit))
     for start in range(0, len(paths), FILES_PER_LOAD):
         load_files(spark, paths[start : start + FILES_PER_LOAD], landing, audit)

@@ -27,7 +27,8 @@ def stream_addresses(
 
     The checkpoint remembers which files were delivered and the audit log which were loaded. A batch
     delivered again after a crash skips what was logged and replaces what was not. Files that
-    failed are left to the next batch run of ``land_addresses``: a stream delivers a file once.
+    failed are left to the next batch run of ``land_addresses``, for a stream delivers a file once;
+    so are empty files, which it does not deliver.
     """
     make_tables(spark, landing, audit)
 
