@@ -37,7 +37,12 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINES
-    settings = {"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    settings = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
     spark = get_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["q_stg_customers"](spark, folder).write.format("noop").mode("overwrite").save()  # start-up

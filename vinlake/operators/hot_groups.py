@@ -15,6 +15,8 @@ the plan shape in which adaptive execution splits a still too large partition fu
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +34,15 @@ def slices_used() -> Column:
     return F.bit_or(F.expr("shiftleft(1L, _slice)")).alias("_slices")
 
 
-def in_slices(facts: DataFrame) -> DataFrame:
-    """Repeat each fact row once per slice that its group occupies."""
-    numbers = F.sequence(F.lit(0), F.lit(SLICES - 1))
-    used = F.filter(numbers, lambda number: F.getbit(F.col("_slices"), number) == 1)
-    return facts.withColumn("_slice", F.explode(used)).drop("_slices")
-
-
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join sliced ``rows`` with ``facts`` (one row per group); NULL keys form a group too."""
     on = [*keys, "_slice"]
-    right = in_slices(facts).withColumnsRenamed({name: f"_fact_{name}" for name in on})
-    matches = F.lit(True)
-    for name in on:
-        matches = matches & F.col(name).eqNullSafe(F.col(f"_fact_{name}"))
-    return rows.join(right, matches, "left").drop("_slice", *[f"_fact_{name}" for name in on])
+    numbers = F.sequence(F.lit(0), F.lit(SLICES - 1))
+    used = F.filter(numbers, lambda number: F.getbit(F.col("_slices"), number) == 1)
+    per_slice = facts.select(
+        *[F.col(name).alias(f"_fact_{name}") for name in keys],
+        *[name for name in facts.columns if name not in (*keys, "_slices")],
+        F.explode(used).alias("_fact__slice"),
+    )
+    matches = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_fact_{name}")) for name in on])
+    return rows.join(per_slice, matches, "left").drop("_slice", *[f"_fact_{name}" for name in on])

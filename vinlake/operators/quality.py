@@ -1,13 +1,13 @@
 """Data-quality checks: a check is a query for offending rows and passes when there are none.
 
-The row checks of one table (``not_null``) are counted together in one scan. Keys and values are
-grouped, which reduces them before the shuffle; foreign keys are grouped before they are joined.
+Checks of one table are counted together: the groups that ``unique`` needs also carry the NULL
+counts, so a view with a costly plan is evaluated once, not once per check. Keys and values are
+grouped before anything else, which reduces them before the shuffle.
 """
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,8 +76,21 @@ def as_failures(name: str, offenders: DataFrame, number: Column | None = None) -
     return offenders.agg(failures.cast("bigint").alias("failures")).select(F.lit(name).alias("check_name"), "failures")
 
 
-def _not_null_failures(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    counts = rows.agg(*[F.count_if(F.col(check.column).isNull()).alias(check.name) for check in checks])
+def _together(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failures of the NULL checks of a table and of at most one check that needs groups."""
+    grouped = next((check for check in checks if check.kind != "not_null"), None)
+    columns = {check.name: check.column for check in checks if check.kind == "not_null"}
+    nulls = [F.count_if(F.col(column).isNull()).alias(name) for name, column in columns.items()]
+    if grouped is None:
+        counts = rows.agg(*nulls)
+    else:
+        value, n_rows = F.col("_value"), F.col("_n_rows")
+        groups = rows.groupBy(F.col(grouped.column).alias("_value")).agg(F.count(F.lit(1)).alias("_n_rows"), *nulls)
+        bad = n_rows > 1 if grouped.kind == "unique" else ~value.isin(*grouped.values)
+        counts = groups.agg(
+            F.count_if(value.isNotNull() & bad).alias(grouped.name),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in columns],
+        )
     pairs = [F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("failures")) for c in checks]
     return counts.select(F.inline(F.array(*pairs)))
 
@@ -87,13 +100,16 @@ def failures_of(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Dat
 
     Failures are rows, except for repeated keys and unexpected values, which count once each.
     """
-    by_table = lambda check: check.table
-    not_null = sorted((check for check in checks if check.kind == "not_null"), key=by_table)
-    parts = [_not_null_failures(tables[table], list(group)) for table, group in groupby(not_null, by_table)]
-    for check in checks:
-        if check.kind != "not_null":
-            number = F.col("n_rows") if check.kind == "relationships" else None
-            parts.append(as_failures(check.name, offending(check, tables), number))
+    parts = []
+    for table in dict.fromkeys(check.table for check in checks):
+        own = [check for check in checks if check.table == table]
+        in_groups = [check for check in own if check.kind in ("unique", "accepted_values")]
+        joined = [check for check in own if check.kind == "relationships"]
+        shared = [check for check in own if check.kind == "not_null"] + in_groups[:1]
+        if shared:
+            parts.append(_together(tables[table], shared))
+        parts += [_together(tables[table], [check]) for check in in_groups[1:]]
+        parts += [as_failures(check.name, offending(check, tables), F.col("n_rows")) for check in joined]
     return union_all(parts)
 
 
