@@ -5,9 +5,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from vinlake.operators import as_planned, in_folder
 from vinlake.plans.models import Models
 from vinlake.plans.warehouse import GateFailed, Schemas, build
 from vinlake.schemas import RAW_TABLES
+from vinlake.session import work_folder
 
 
 def _at(text):
@@ -40,7 +42,7 @@ ADDRESSES = [
 ]
 
 
-def make_models(spark, as_of="2026-03-01", **changed):
+def make_models(spark, as_of="2026-03-01", keep=as_planned, **changed):
     rows = {
         "raw_customers": CUSTOMERS, "raw_sales": SALES, "raw_after_sales": TICKETS,
         "raw_customer_addresses": ADDRESSES, **changed,
@@ -48,7 +50,7 @@ def make_models(spark, as_of="2026-03-01", **changed):
     raw = {
         name: lambda name=name: spark.createDataFrame(rows[name], RAW_TABLES[name]) for name in RAW_TABLES
     }
-    return Models(spark, raw, F.lit(as_of).cast("date"))
+    return Models(spark, raw, F.lit(as_of).cast("date"), keep)
 
 
 @pytest.fixture(scope="module")
@@ -116,8 +118,9 @@ def test_dimensions(seed):
     assert [row.service_type_code for row in seed["dim_service_type"].collect()] == ["BP", "PM", "GR"]
 
 
-def test_all_checks_pass_and_tables_are_stored(spark):
-    outcome = build(make_models(spark), Schemas(marts="seed_marts"))
+def test_all_checks_pass_and_tables_are_stored(spark, tmp_path):
+    kept = in_folder(work_folder(spark, str(tmp_path)))
+    outcome = build(make_models(spark, keep=kept), Schemas(marts="seed_marts"))
     assert len(outcome) == 38 and all(row.failures == 0 for row in outcome)
     facts = spark.table("seed_marts.fact_sales")
     assert facts.count() == 4 and {"dbt_loaded_at", "invoice_date_month"} <= set(facts.columns)

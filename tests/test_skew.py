@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vinlake.operators import in_folder, with_slice
 from vinlake.operators.hot_groups import SLICES
 from vinlake.plans import checks
 from vinlake.plans.models import Models
@@ -23,9 +24,14 @@ LOW_LIMITS = {
 
 
 @pytest.fixture(scope="module")
-def hot(spark, tmp_path_factory):
+def hot_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("hot"))
+
+
+@pytest.fixture(scope="module")
+def hot(spark, hot_folder):
     """Raw tables with one hot customer, vehicle, sale group and address owner; a sixth without VIN."""
-    folder = str(tmp_path_factory.mktemp("hot"))
+    folder = hot_folder
     key, at = F.col("id"), F.lit("2025-01-01").cast("timestamp_ntz")
     third, text = key % 3 == 0, key.cast("string")
     tables = {
@@ -54,8 +60,13 @@ def hot(spark, tmp_path_factory):
     }
     for name, columns in tables.items():
         spark.range(0, ROWS, 1, 8).select(*columns).write.parquet(f"{folder}/{name}")
-    raw = {name: (lambda name=name: spark.read.parquet(f"{folder}/{name}")) for name in tables}
-    return Models(spark, raw, F.lit("2026-01-01").cast("date"))
+    return over(spark, folder)
+
+
+def over(spark, folder, **options):
+    names = ("raw_customers", "raw_sales", "raw_after_sales", "raw_customer_addresses")
+    raw = {name: (lambda name=name: spark.read.parquet(f"{folder}/{name}")) for name in names}
+    return Models(spark, raw, F.lit("2026-01-01").cast("date"), **options)
 
 
 @pytest.fixture
@@ -95,8 +106,6 @@ def test_hot_sale_group_is_spread_over_slices(spark, hot, low_limits):
     _, plan = run(hot["stg_sales"])
     join = re.search(r"SortMergeJoin.*", plan).group()
     assert "_fact__slice" in join
-    from vinlake.operators import with_slice
-
     sliced = with_slice(hot["raw_sales"].where("customer_id = 1"), "vin").groupBy("_slice").count()
     sizes = [row["count"] for row in sliced.collect()]
     assert len(sizes) == SLICES and max(sizes) < 3 * ROWS / 3 / SLICES
@@ -132,3 +141,12 @@ def test_invalid_pairs_are_counted_not_formed(hot, low_limits):
     invalid = facts.where("vin = 'V' AND (is_vin_not_in_sales OR is_future_date)").count()
     assert [(r.vin, r.n_rows) for r in counted] == [("V", mart.count() * invalid)]
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_kept_facts_spare_the_wide_shuffle(spark, hot, hot_folder, tmp_path):
+    """Facts on disk are small, so rows are flagged where they are read."""
+    kept = over(spark, hot_folder, keep=in_folder(str(tmp_path / "work")))
+    for name in ("stg_sales", "stg_after_sales"):
+        found, plan = run(kept[name])
+        assert sorted(found, key=repr) == sorted(hot[name].collect(), key=repr)
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

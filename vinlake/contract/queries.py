@@ -9,6 +9,7 @@ from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title
 from vinlake.operators.quality import failures_of, offending, row_counts
 from vinlake.plans import checks, core, serving
 from vinlake.plans.models import Models
+from vinlake.plans.staging import cleaned_sales
 from vinlake.plans.trial_tables import AS_OF, raw_customer_addresses, source, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +42,7 @@ def aftersales_priority(spark: SparkSession, folder: str) -> DataFrame:
 
 def calendar_of_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The date dimension over the days that the sales span."""
-    sales = models(spark, folder)["stg_sales"]
+    sales = cleaned_sales(models(spark, folder)["raw_sales"])
     span = sales.agg(F.min("invoice_date").alias("first_day"), F.max("invoice_date").alias("last_day"))
     return core.calendar(span)
 

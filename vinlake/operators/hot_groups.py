@@ -14,7 +14,7 @@ The join keys differ from the grouping keys, so both sides get an exchange of th
 the plan shape in which adaptive execution splits a still too large partition further.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -23,6 +23,30 @@ from pyspark.sql import functions as F
 
 SLICES = 64  # one bit each in a BIGINT
 
+# What becomes of facts before they are attached: a name and the facts in, equal rows out.
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def as_planned(_: str, facts: DataFrame) -> DataFrame:
+    """Leave the facts a part of the plan that uses them."""
+    return facts
+
+
+def in_folder(folder: str) -> Keep:
+    """Write the facts to a shared folder and go on with the files.
+
+    Then they are computed once for all plans that use them, survive the loss of executors, and
+    have a known size: Spark broadcasts them if that is under its limit, and the rows they are
+    attached to are not shuffled at all.
+    """
+
+    def keep(name: str, facts: DataFrame) -> DataFrame:
+        path = f"{folder}/{name}"
+        facts.write.mode("overwrite").parquet(path)
+        return facts.sparkSession.read.schema(facts.schema).parquet(path)
+
+    return keep
+
 
 def with_slice(rows: DataFrame, *identity: str) -> DataFrame:
     """Number the rows by a hash of their identity, the same in every evaluation of ``rows``."""

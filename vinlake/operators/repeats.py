@@ -3,7 +3,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.operators.hot_groups import attach, slices_used, with_slice
+from vinlake.operators.hot_groups import Keep, as_planned, attach, slices_used, with_slice
 
 
 def flag_repeats(
@@ -13,6 +13,7 @@ def flag_repeats(
     repeated: str | None = None,
     first: str | None = None,
     first_by: Sequence[str] = (),
+    keep: Keep = as_planned,
 ) -> DataFrame:
     """Add a flag for rows whose key occurs more than once, and one for the first row of each key.
 
@@ -26,7 +27,7 @@ def flag_repeats(
         facts.append(F.min(F.struct(*first_by)).alias("_first"))
     sliced = with_slice(rows, *identity)
     groups = sliced.groupBy(*keys).agg(*facts).where(F.col("_rows") > 1)
-    flagged = attach(sliced, groups, keys)
+    flagged = attach(sliced, keep("_".join(filter(None, [repeated, first])), groups), keys)
 
     flags: dict[str, Column] = {}
     if repeated:

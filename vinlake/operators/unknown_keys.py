@@ -3,10 +3,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.operators.hot_groups import attach, slices_used, with_slice
+from vinlake.operators.hot_groups import Keep, as_planned, attach, slices_used, with_slice
 
 
-def flag_unknown(rows: DataFrame, key: str, known: DataFrame, identity: Sequence[str], flag: str) -> DataFrame:
+def flag_unknown(
+    rows: DataFrame, key: str, known: DataFrame, identity: Sequence[str], flag: str, keep: Keep = as_planned
+) -> DataFrame:
     """Add a flag for rows whose key is NULL or missing from ``known``.
 
     Both sides are first reduced to one row per key, where no key can be hot, and compared there.
@@ -16,5 +18,5 @@ def flag_unknown(rows: DataFrame, key: str, known: DataFrame, identity: Sequence
     sliced = with_slice(rows, *identity)
     present = sliced.where(F.col(key).isNotNull()).groupBy(key).agg(slices_used())
     unknown = present.join(known.select(key).distinct(), key, "left_anti").withColumn("_unknown", F.lit(True))
-    flagged = attach(sliced, unknown, [key])
+    flagged = attach(sliced, keep(flag, unknown), [key])
     return flagged.withColumn(flag, F.col(key).isNull() | F.col("_unknown").isNotNull()).drop("_unknown")

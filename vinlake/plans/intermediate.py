@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vinlake.fixed_values import NO_ADDRESS
 from vinlake.functions import calendar_month, price_class
-from vinlake.operators import first_per_key, flag_repeats
+from vinlake.operators import Keep, as_planned, first_per_key, flag_repeats
 from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, repeat_keys
 
 
@@ -34,7 +34,7 @@ def _described(sales: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame) -> DataFrame:
+def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame, keep: Keep = as_planned) -> DataFrame:
     """Every dated sale with buyer, price class and period, and a flag on the one that counts.
 
     It starts from the raw table because the repeat flag of staging and the flag set here come out
@@ -44,11 +44,11 @@ def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame) -> DataFrame:
     same_day, same_raw = list(SALE_KEYS), repeat_keys(cleaned)
     if same_raw == same_day:
         dated = cleaned.where(F.col("invoice_date").isNotNull())
-        flagged = flag_repeats(dated, same_day, ["vin"], "is_duplicate_suspect", "is_canonical", SALE_ORDER)
+        flagged = flag_repeats(dated, same_day, ["vin"], "is_duplicate_suspect", "is_canonical", SALE_ORDER, keep)
     else:
-        suspects = flag_repeats(cleaned, same_raw, ["vin"], repeated="is_duplicate_suspect")
+        suspects = flag_repeats(cleaned, same_raw, ["vin"], repeated="is_duplicate_suspect", keep=keep)
         dated = suspects.where(F.col("invoice_date").isNotNull())
-        flagged = flag_repeats(dated, same_day, ["vin"], first="is_canonical", first_by=SALE_ORDER)
+        flagged = flag_repeats(dated, same_day, ["vin"], first="is_canonical", first_by=SALE_ORDER, keep=keep)
     return _described(flagged, customers).select(
         "vin",
         "customer_id",

@@ -2,6 +2,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from vinlake.operators import Keep, as_planned
 from vinlake.plans import core, intermediate, serving, staging
 
 STAGING = ("stg_customers", "stg_sales", "stg_after_sales", "stg_customer_addresses")
@@ -15,21 +16,34 @@ class Models(Mapping[str, DataFrame]):
     """Raw tables and models by name. A model refers to others by name and is planned on first use.
 
     Setting a name replaces what later models read under it, for instance by a table on disk that
-    holds the model's rows.
+    holds the model's rows. ``keep`` says what becomes of facts that flags are taken from.
     """
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, Callable[[], DataFrame]], as_of: Column | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: Mapping[str, Callable[[], DataFrame]],
+        as_of: Column | None = None,
+        keep: Keep = as_planned,
+    ):
+        def kept_for(model: str) -> Keep:
+            return lambda name, facts: keep(f"{model}/{name}", facts)
+
         self._made: dict[str, DataFrame] = {}
         self._makers: dict[str, Callable[[], DataFrame]] = {
             **raw,
             "stg_customers": lambda: staging.stg_customers(self["raw_customers"]),
-            "stg_sales": lambda: staging.stg_sales(self["raw_sales"]),
-            "stg_after_sales": lambda: staging.stg_after_sales(self["raw_after_sales"], self["raw_sales"], as_of),
+            "stg_sales": lambda: staging.stg_sales(self["raw_sales"], kept_for("stg_sales")),
+            "stg_after_sales": lambda: staging.stg_after_sales(
+                self["raw_after_sales"], self["raw_sales"], as_of, kept_for("stg_after_sales")
+            ),
             "stg_customer_addresses": lambda: staging.stg_customer_addresses(self["raw_customer_addresses"]),
             "int_customer_enriched": lambda: intermediate.int_customer_enriched(
                 self["stg_customers"], self["stg_customer_addresses"]
             ),
-            "int_sales_enriched": lambda: intermediate.int_sales_enriched(self["raw_sales"], self["stg_customers"]),
+            "int_sales_enriched": lambda: intermediate.int_sales_enriched(
+                self["raw_sales"], self["stg_customers"], kept_for("int_sales_enriched")
+            ),
             "dim_customer": lambda: core.dim_customer(self["int_customer_enriched"]),
             "dim_date": lambda: core.dim_date(spark),
             "dim_service_type": lambda: core.dim_service_type(spark),

@@ -6,7 +6,7 @@ from pyspark.sql.types import DateType
 
 from vinlake.fixed_values import CORPORATE_PREFIXES, DOB_PLACEHOLDER
 from vinlake.functions import dotted_amount, mixed_date, strip_space
-from vinlake.operators import flag_repeats, flag_unknown, latest_per_key
+from vinlake.operators import Keep, as_planned, flag_repeats, flag_unknown, latest_per_key
 
 SALE_KEYS = ("customer_id", "model", "invoice_date")
 # Of several sales under the same keys the earliest counts; the rest of the order settles ties.
@@ -49,23 +49,25 @@ def repeat_keys(cleaned: DataFrame) -> list[str]:
     return [*SALE_KEYS[:2], "_invoiced" if "_invoiced" in cleaned.columns else "invoice_date"]
 
 
-def stg_sales(raw_sales: DataFrame) -> DataFrame:
+def stg_sales(raw_sales: DataFrame, keep: Keep = as_planned) -> DataFrame:
     """Sales with a whole-number price and a flag for suspected repeats."""
     cleaned = cleaned_sales(raw_sales)
-    flagged = flag_repeats(cleaned, repeat_keys(cleaned), ["vin"], repeated="is_duplicate_suspect")
+    flagged = flag_repeats(cleaned, repeat_keys(cleaned), ["vin"], repeated="is_duplicate_suspect", keep=keep)
     return flagged.select(
         "vin", "customer_id", "model", "invoice_date", "price", "is_duplicate_suspect", "created_at"
     )
 
 
-def stg_after_sales(raw_after_sales: DataFrame, raw_sales: DataFrame, as_of: Column | None = None) -> DataFrame:
+def stg_after_sales(
+    raw_after_sales: DataFrame, raw_sales: DataFrame, as_of: Column | None = None, keep: Keep = as_planned
+) -> DataFrame:
     """Service tickets with a flag for vehicles never sold and one for dates after ``as_of``.
 
     ``as_of`` is today unless given; a result that has to be repeatable needs it given.
     """
     today = F.current_date() if as_of is None else as_of
     tickets = raw_after_sales.where(F.col("service_ticket").isNotNull())
-    flagged = flag_unknown(tickets, "vin", raw_sales, ["service_ticket"], flag="is_vin_not_in_sales")
+    flagged = flag_unknown(tickets, "vin", raw_sales, ["service_ticket"], "is_vin_not_in_sales", keep)
     service_date = F.col("service_date").cast("date")
     return flagged.select(
         "service_ticket",

@@ -1,3 +1,5 @@
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -25,3 +27,11 @@ def get_session(app: str = "vinlake", master: str | None = None, **settings: str
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def work_folder(spark: SparkSession, fallback: str | None = None) -> str:
+    """A new folder for a run's intermediate tables, in the shared folder that the cluster names."""
+    shared = spark.conf.get("spark.checkpoint.dir", fallback)
+    if not shared:
+        raise ValueError("spark.checkpoint.dir is not set and no other folder was given")
+    return f"{shared.rstrip('/')}/vinlake-{uuid4().hex}"

@@ -5,6 +5,9 @@ Rows go from the database to the executors; none pass through the driver.
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Stream rows in batches; a DATETIME has no zone and stays without one.
+OPTIONS = {"fetchsize": "10000", "preferTimestampNTZ": "true"}
+
 
 def hash_predicates(key: str, parts: int, digest: str = "CRC32") -> list[str]:
     """Conditions that split a table evenly by a hash of its key, whatever the key looks like.
@@ -20,7 +23,7 @@ def read_table_by_text_key(
     spark: SparkSession, url: str, table: str, key: str, parts: int = 16, properties: dict[str, str] | None = None
 ) -> DataFrame:
     """A table with a text key. Each part scans the table, so keep ``parts`` moderate."""
-    options = {"fetchsize": "10000", **(properties or {})}
+    options = {**OPTIONS, **(properties or {})}
     return spark.read.jdbc(url, table, predicates=hash_predicates(key, parts), properties=options)
 
 
@@ -28,7 +31,7 @@ def read_table_by_number_key(
     spark: SparkSession, url: str, table: str, key: str, parts: int = 64, properties: dict[str, str] | None = None
 ) -> DataFrame:
     """A table with an indexed number key, in ranges of equal width between its ends."""
-    options = {"fetchsize": "10000", **(properties or {})}
+    options = {**OPTIONS, **(properties or {})}
     ends = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) AS ends"
     low, high = spark.read.jdbc(url, ends, properties=options).first()
     if low is None:

@@ -89,8 +89,8 @@ def days_between(rows: DataFrame, day: str, first: str, last: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A declared raw table stored as Parquet."""
-    return spark.read.schema(RAW_TABLES[name]).parquet(path)
+    """A declared raw table stored as Parquet, in its declared types, without load metadata."""
+    return spark.read.parquet(path).to(RAW_TABLES[name])
 
 
 def empty_table(spark: SparkSession, path: str, schema: StructType, *partitions: str) -> None:
