@@ -59,6 +59,7 @@ def fill(drop):
     drop.put("customer_addresses_20250306.csv", "id,customer_id\n1,2\n3,4,5\n")
     drop.put("customer_addresses_20250307.csv", "id,customer_id\n")
     drop.put("customer_addresses_20250308.csv", "id,id\n1,2\n")
+    drop.put("customer_addresses_20250311.csv", 'id,city\n1,"2\n3,4\n')
 
 
 OUTCOMES = {
@@ -70,6 +71,7 @@ OUTCOMES = {
     "20250306": ("failed", 0, "1 rows with more fields than the header"),
     "20250307": ("success", 0, None),
     "20250308": ("failed", 0, "repeated column"),
+    "20250311": ("failed", 0, "a quote is never closed"),
 }
 
 
@@ -123,7 +125,7 @@ def test_an_unreadable_file_fails_alone(spark, drop):
     fill(drop)
     missing = os.path.join(drop.folder, "customer_addresses_20250309.csv")
     landing.make_tables(spark, drop.landing, drop.audit)
-    present = [os.path.join(drop.folder, f"customer_addresses_2025030{n}.csv") for n in range(1, 9)]
+    present = [os.path.join(drop.folder, f"customer_addresses_{day}.csv") for day in OUTCOMES]
     landing.load_files(spark, [*present, missing], drop.landing, drop.audit)
     outcomes = drop.outcomes(spark)
     assert outcomes.pop("20250309")[0] == "failed" and outcomes == OUTCOMES
@@ -194,6 +196,8 @@ def test_raw_loads_replace_and_keep_a_snapshot(spark, drop, tmp_path):
     raw = spark.read.parquet(target)
     assert raw.columns == ["id", "customer_id", "address", "city", "province", "created_at", "_ingestion_date", "_loaded_at", "_source_file"]
     assert raw.first().city == " bekasi " and raw.first()._ingestion_date == "2026-03-29"
+    older = spark.read.parquet(lake).where("ingestion_date = '2026-03-28' AND id = '2'").first()
+    assert (older.city, older.province, older.created_at) == ("DKI rt/rw", None, "soon")
     assert {kind for _, kind in raw.dtypes} == {"string"}
     kept = {str(row.ingestion_date): row["count"] for row in spark.read.parquet(lake).groupBy("ingestion_date").count().collect()}
     assert kept == {"2026-03-28": 2, "2026-03-29": 1}

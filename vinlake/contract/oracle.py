@@ -211,13 +211,13 @@ SELECTS = {
         "SELECT 1 FROM fact_sales f WHERE customer_id IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id)",
     ),
-    "q_dq_revenue": _failures("assert_revenue_non_negative", "SELECT 1 FROM fact_sales WHERE price < 0"),
+    "q_dq_revenue": _failures("revenue_non_negative", "SELECT 1 FROM fact_sales WHERE price < 0"),
     "q_dq_serving_inner": _failures(
-        "assert_serving_excludes_invalid",
+        "serving_without_invalid_pairs",
         f"SELECT m.vin FROM mart_aftersales_priority m JOIN (FROM fact_after_sales WHERE {INVALID}) f USING (vin)",
     ),
     "q_dq_serving_exists": _failures(
-        "assert_valid_service_excluded",
+        "serving_without_invalid_rows",
         f"SELECT 1 FROM mart_aftersales_priority WHERE vin IN (SELECT vin FROM fact_after_sales WHERE {INVALID})",
     ),
     "q_dq_flag_rates": _flag_rates(),

@@ -46,9 +46,9 @@ FLAGS = {
     "stg_after_sales": ("is_vin_not_in_sales", "is_future_date"),
 }
 
-REVENUE = "assert_revenue_non_negative"
-SERVING_INNER = "assert_serving_excludes_invalid"
-SERVING_EXISTS = "assert_valid_service_excluded"
+REVENUE = "revenue_non_negative"
+SERVING_INNER = "serving_without_invalid_pairs"
+SERVING_EXISTS = "serving_without_invalid_rows"
 
 
 def declared(kind: str | None = None, layer: str | None = None) -> list[Check]:

@@ -31,7 +31,7 @@ class Arrival:
     path: str
     name: str
     header: tuple[str, ...] = ()
-    multi_line: bool = False
+    multi_line: bool = False  # some value has a line break in it, so lines are not records
     error: str | None = None
 
 
@@ -76,7 +76,7 @@ def inspect(spark: SparkSession, paths: Sequence[str]) -> list[Arrival]:
     line = F.col("value")
     number = F.monotonically_increasing_id()  # grows along the lines of a file's first block
     first_lines = (F.col("block_start") == 0) & (F.trim(line) != "")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    odd_quotes = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2
     seen = (
         spark.read.text(list(paths))
         .select("value", F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("block_start"))
@@ -84,7 +84,7 @@ def inspect(spark: SparkSession, paths: Sequence[str]) -> list[Arrival]:
         .groupBy("name")
         .agg(
             F.min(F.when(first_lines, F.struct("number", "value"))).alias("first"),
-            F.max(quotes % 2 == 1).alias("multi_line"),
+            F.sum(odd_quotes).alias("odd_lines"),
             F.min(F.is_valid_utf8(line)).alias("is_text"),
         )
     )
@@ -97,9 +97,11 @@ def inspect(spark: SparkSession, paths: Sequence[str]) -> list[Arrival]:
             arrivals.append(Arrival(path, name, error="no columns in file"))
         elif not row.is_text:
             arrivals.append(Arrival(path, name, error="not valid UTF-8"))
+        elif row.odd_lines % 2:
+            arrivals.append(Arrival(path, name, error="a quote is never closed"))
         else:
             header = _header_names(row.first.value)
-            arrivals.append(Arrival(path, name, header, row.multi_line, _header_error(header)))
+            arrivals.append(Arrival(path, name, header, row.odd_lines > 0, _header_error(header)))
     return arrivals
 
 

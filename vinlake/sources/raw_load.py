@@ -3,7 +3,9 @@
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vinlake.functions import blank_to_null
 from vinlake.sources.files import find_files, latest_file, read_text_csv, with_load_metadata
 from vinlake.sources.tables import replace_files, replace_from_snapshot, snapshot
 
@@ -20,5 +22,6 @@ def load_latest_addresses(
     day = ingestion_date or date.today().isoformat()
     path, name = latest_file(find_files(spark, folder))
     rows = read_text_csv(spark, path, multi_line)
+    rows = rows.select(*[blank_to_null(F.col(f"`{column}`")).alias(column) for column in rows.columns])
     snapshot(with_load_metadata(rows, day, _source_file=name), lake, day)
     return replace_from_snapshot(spark, lake, day, target)
