@@ -48,6 +48,14 @@ def test_sales_facts_are_shuffled_once_before_the_buyer_join(spark):
     assert before_join.count("Exchange hashpartitioning(customer_id") == 1
 
 
+def test_counts_and_sums_are_hashed_not_sorted(spark):
+    for name in ("stg_sales", "stg_after_sales", "mart_aftersales_priority"):
+        plan = plan_of(models(spark, FOLDER)[name])
+        assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan
+    plan = plan_of(models(spark, FOLDER)["dim_vehicle"])
+    assert plan[: plan.index("SortAggregate")].count("HashAggregate") == 2  # partial and final, by model
+
+
 @pytest.fixture(scope="module")
 def monthly(spark):
     facts = models(spark, "/root/testdata/sf0.01")["fact_sales"]

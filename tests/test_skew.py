@@ -111,6 +111,20 @@ def test_hot_sale_group_is_spread_over_slices(spark, hot, low_limits):
     assert len(sizes) == SLICES and max(sizes) < 3 * ROWS / 3 / SLICES
 
 
+def test_hot_slices_are_split_further(spark, hot, low_limits):
+    """Were a slice still too large for a task, adaptive execution would cut it."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+    try:
+        for name in ("stg_sales", "stg_after_sales"):
+            found, plan = run(hot[name].where("model = 'RAIZA'"))
+            assert len(found) == ROWS and re.search(r"SortMergeJoin\(skew=true\).*_fact__slice", plan), name
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def test_hot_customer_joins_are_split(hot, low_limits):
     for name in ("int_sales_enriched", "mart_aftersales_priority"):
         _, plan = run(hot[name])
