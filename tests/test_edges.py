@@ -12,9 +12,10 @@ from vinlake.functions import blank_to_null, mixed_date, mixed_timestamp, price_
 from vinlake.operators import first_per_key
 from vinlake.operators.quality import failures_of, offending
 from vinlake.plans import checks, core
-from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales
+from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, stg_sales
 from vinlake.sources.jdbc import hash_predicates
-from vinlake.sources.tables import append_files, replace_partitions
+from vinlake.schemas import RAW_SALES
+from vinlake.sources.tables import append_files, read_raw, replace_partitions
 
 AT = datetime(2025, 1, 1)
 
@@ -108,6 +109,26 @@ def test_raw_invoice_date_with_a_time_of_day(spark):
     assert [(r.vin, r.is_duplicate_suspect) for r in models["fact_sales"].collect()] == [("a", True)]
 
 
+def test_one_of_many_copies_counts(spark, tmp_path):
+    """A third of the table is one row over and over; the stored table tells the copies apart."""
+    path = str(tmp_path / "raw_sales")
+    rows = spark.createDataFrame(SALES, RAW_SALES)
+    copies = spark.createDataFrame([SALES[0]] * 200, RAW_SALES)
+    others = spark.range(400).select(
+        F.concat(F.lit("W"), "id").alias("vin"), F.col("id").alias("customer_id"),
+        F.lit("X").alias("model"), F.lit("2025-01-01").cast("date").alias("invoice_date"), F.lit("5").alias("price"),
+        F.lit("2025-01-01").cast("timestamp_ntz").alias("created_at"),
+    )
+    copies.union(others).repartition(6).write.parquet(path)
+    models = make_models(spark)
+    models["raw_sales"] = read_raw(spark, path, "raw_sales")
+    enriched = models["int_sales_enriched"].where(F.col("vin") == SALES[0][0]).collect()
+    assert len(enriched) == 200 and all(row.is_duplicate_suspect for row in enriched)
+    assert sum(row.is_canonical for row in enriched) == 1
+    assert models["fact_sales"].count() == 401 and models["stg_sales"].where("is_duplicate_suspect").count() == 200
+    assert stg_sales(models["raw_sales"]).columns == stg_sales(rows).columns
+
+
 def test_tickets_without_vehicle_or_date(spark):
     tickets = [
         ("t1", None, 1, "X", date(2025, 1, 1), "PM", AT), ("t2", "JIS8135SAD", 1, "X", None, "PM", AT),

@@ -9,11 +9,20 @@ from test_seed import CUSTOMERS, SALES, TICKETS
 from vinlake.jobs import main
 from vinlake.plans.warehouse import GateFailed
 from vinlake.schemas import RAW_TABLES
+from vinlake.session import work_folder
 from vinlake.sources.raw_load import load_source_table
 
 ADDRESS = "ID, customer_id ,address,city,province,created_at\n1,3,Jl A, Bekasi ,Jawa Barat,2026-03-01 14:24:40\n"
 
 
+def test_work_folder_is_where_the_cluster_says(spark, tmp_path):
+    first, second = (work_folder(spark, str(tmp_path)) for _ in range(2))
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir", str(tmp_path)))
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(ValueError):
+            work_folder(spark)
+
+
 def test_from_drop_to_reports(spark, tmp_path, capsys):
     at = {name: str(tmp_path / name) for name in ("drop", "landing", "audit", "lake", "raw", "work", "checkpoint")}
     os.mkdir(at["drop"])

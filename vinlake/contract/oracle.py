@@ -238,6 +238,10 @@ SELECTS = {
             WHEN 2 THEN date_trunc('day', o_orderdate) WHEN 3 THEN date_trunc('second', o_orderdate)
             WHEN 4 THEN date_trunc('second', o_orderdate) END AS created_at, CAST(o_orderdate AS DATE) AS day
         FROM orders""",
+    "q_landing_pending_files": """
+        SELECT d AS day, n AS n_rows, 'customer_addresses_' || strftime(d, '%Y%m%d') || '.csv' AS source_file
+        FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
+        WHERE day(d) <> 1 AND NOT (day(d) % 2 = 0 AND day(d) <> 2 AND month(d) % 3 <> 0)""",
 }
 
 _TITLED = (

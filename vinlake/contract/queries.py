@@ -5,12 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vinlake.fixed_values import LANDING_PIPELINE
 from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title_words
 from vinlake.operators.quality import failures_of, offending, row_counts
 from vinlake.plans import checks, core, serving
 from vinlake.plans.models import Models
 from vinlake.plans.staging import cleaned_sales
 from vinlake.plans.trial_tables import AS_OF, raw_customer_addresses, source, trial_tables
+from vinlake.sources.files import well_named
+from vinlake.sources.landing import not_loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +109,20 @@ def landing_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select("o_orderkey", mixed_timestamp(text).alias("created_at"), day.cast("date").alias("day"))
 
 
+def pending_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Well-named files without a successful load; each order day stands for a file and its audit row."""
+    day = F.col("o_orderdate").cast("date")
+    days = source(spark, folder, "orders").groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+    ending = F.when(F.dayofmonth("day") == 1, ".CSV").otherwise(".csv")
+    files = days.withColumn("source_file", F.concat(F.lit("customer_addresses_"), F.date_format("day", "yyyyMMdd"), ending))
+    audit = files.where("dayofmonth(day) % 2 = 0").select(
+        F.when(F.dayofmonth("day") == 2, "other").otherwise(LANDING_PIPELINE).alias("pipeline"),
+        F.when(F.month("day") % 3 == 0, "failed").otherwise("success").alias("status"),
+        "source_file",
+    )
+    return not_loaded(well_named(files), audit)
+
+
 QUERIES: dict[str, Query] = {
     "q_stg_customers": _model("stg_customers"),
     "q_stg_sales": _model("stg_sales"),
@@ -135,4 +152,5 @@ QUERIES: dict[str, Query] = {
     "q_dq_serving_exists_rows": report_rows_with_invalid,
     "q_addr_title_case": address_title_case,
     "q_landing_timestamps": landing_timestamps,
+    "q_landing_pending_files": pending_files,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vinlake.fixed_values import NO_ADDRESS
 from vinlake.functions import calendar_month, price_class
 from vinlake.operators import Keep, as_planned, first_per_key, flag_repeats
-from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, repeat_keys
+from vinlake.plans.staging import SALE_KEYS, cleaned_sales, identity, repeat_keys, sale_order
 
 
 def int_customer_enriched(customers: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -42,13 +42,14 @@ def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame, keep: Keep =
     """
     cleaned = cleaned_sales(raw_sales)
     same_day, same_raw = list(SALE_KEYS), repeat_keys(cleaned)
+    told_by, order = identity(cleaned, "vin"), sale_order(cleaned)
     if same_raw == same_day:
         dated = cleaned.where(F.col("invoice_date").isNotNull())
-        flagged = flag_repeats(dated, same_day, ["vin"], "is_duplicate_suspect", "is_canonical", SALE_ORDER, keep)
+        flagged = flag_repeats(dated, same_day, told_by, "is_duplicate_suspect", "is_canonical", order, keep)
     else:
-        suspects = flag_repeats(cleaned, same_raw, ["vin"], repeated="is_duplicate_suspect", keep=keep)
+        suspects = flag_repeats(cleaned, same_raw, told_by, repeated="is_duplicate_suspect", keep=keep)
         dated = suspects.where(F.col("invoice_date").isNotNull())
-        flagged = flag_repeats(dated, same_day, ["vin"], first="is_canonical", first_by=SALE_ORDER, keep=keep)
+        flagged = flag_repeats(dated, same_day, told_by, first="is_canonical", first_by=order, keep=keep)
     return _described(flagged, customers).select(
         "vin",
         "customer_id",
@@ -70,8 +71,9 @@ def canonical_sales(raw_sales: DataFrame, customers: DataFrame) -> DataFrame:
     cleaned = cleaned_sales(raw_sales)
     same_day, same_raw = list(SALE_KEYS), repeat_keys(cleaned)
     dated = cleaned.where(F.col("invoice_date").isNotNull())
-    first = first_per_key(dated, list(dict.fromkeys([*same_day, *same_raw])), SALE_ORDER, rows_as="_rows")
+    order = sale_order(cleaned)
+    first = first_per_key(dated, list(dict.fromkeys([*same_day, *same_raw])), order, rows_as="_rows")
     if same_raw != same_day:
-        first = first_per_key(first, same_day, SALE_ORDER, rows_as="_raw_dates")
+        first = first_per_key(first, same_day, order, rows_as="_raw_dates")
     flagged = first.withColumn("is_duplicate_suspect", F.col("_rows") > 1)
     return _described(flagged, customers)

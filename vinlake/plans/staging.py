@@ -11,6 +11,8 @@ from vinlake.operators import Keep, as_planned, flag_repeats, flag_unknown, late
 SALE_KEYS = ("customer_id", "model", "invoice_date")
 # Of several sales under the same keys the earliest counts; the rest of the order settles ties.
 SALE_ORDER = ("created_at", "vin", "price")
+# Where a row lies in its file. Tables read with it tell exact copies of a row apart.
+ROW_ID = "_row_id"
 
 
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
@@ -31,7 +33,7 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
 
 def cleaned_sales(raw_sales: DataFrame) -> DataFrame:
     """Sales with a VIN, cast. A raw date with a time of day is kept as ``_invoiced`` next to the date."""
-    kept = ["created_at"]
+    kept = [name for name in ("created_at", ROW_ID) if name in raw_sales.columns]
     if not isinstance(raw_sales.schema["invoice_date"].dataType, DateType):
         kept.append(F.col("invoice_date").alias("_invoiced"))
     return raw_sales.where(F.col("vin").isNotNull()).select(
@@ -49,10 +51,21 @@ def repeat_keys(cleaned: DataFrame) -> list[str]:
     return [*SALE_KEYS[:2], "_invoiced" if "_invoiced" in cleaned.columns else "invoice_date"]
 
 
+def identity(rows: DataFrame, key: str) -> list[str]:
+    """What tells two rows apart: their place in the file if known, else their key."""
+    return [ROW_ID] if ROW_ID in rows.columns else [key]
+
+
+def sale_order(cleaned: DataFrame) -> list[str]:
+    """The order that makes one sale of a group the first."""
+    return [*SALE_ORDER, *[name for name in (ROW_ID,) if name in cleaned.columns]]
+
+
 def stg_sales(raw_sales: DataFrame, keep: Keep = as_planned) -> DataFrame:
     """Sales with a whole-number price and a flag for suspected repeats."""
     cleaned = cleaned_sales(raw_sales)
-    flagged = flag_repeats(cleaned, repeat_keys(cleaned), ["vin"], repeated="is_duplicate_suspect", keep=keep)
+    told_by = identity(cleaned, "vin")
+    flagged = flag_repeats(cleaned, repeat_keys(cleaned), told_by, repeated="is_duplicate_suspect", keep=keep)
     return flagged.select(
         "vin", "customer_id", "model", "invoice_date", "price", "is_duplicate_suspect", "created_at"
     )
@@ -67,7 +80,8 @@ def stg_after_sales(
     """
     today = F.current_date() if as_of is None else as_of
     tickets = raw_after_sales.where(F.col("service_ticket").isNotNull())
-    flagged = flag_unknown(tickets, "vin", raw_sales, ["service_ticket"], "is_vin_not_in_sales", keep)
+    told_by = identity(tickets, "service_ticket")
+    flagged = flag_unknown(tickets, "vin", raw_sales, told_by, "is_vin_not_in_sales", keep)
     service_date = F.col("service_date").cast("date")
     return flagged.select(
         "service_ticket",

@@ -2,11 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vinlake.schemas import RAW_TABLES
 
 
+ROW_PLACE = StructType([StructField("file", LongType()), StructField("row", LongType())])
+
+
 def with_loaded_at(rows: DataFrame) -> DataFrame:
     """Add the time of the load, the last column of facts and reports."""
     return rows.withColumn("dbt_loaded_at", F.current_timestamp())
@@ -89,8 +92,15 @@ def days_between(rows: DataFrame, day: str, first: str, last: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A declared raw table stored as Parquet, in its declared types, without load metadata."""
-    return spark.read.parquet(path).to(RAW_TABLES[name])
+    """A declared raw table stored as Parquet, in its declared types, without load metadata.
+
+    ``_row_id`` says where a row lies, so that copies of a row can be told apart.
+    """
+    stored = spark.read.parquet(path)
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    declared = RAW_TABLES[name]
+    numbered = StructType([*declared.fields, StructField("_row_id", ROW_PLACE)])
+    return stored.select(*declared.names, place.alias("_row_id")).to(numbered)
 
 
 def empty_table(spark: SparkSession, path: str, schema: StructType, *partitions: str) -> None:
