@@ -190,6 +190,13 @@ def _flag_rates() -> str:
     )
 
 
+def _titled(odd: str, even: str) -> str:
+    """Title case of one text for odd ids and of another for even ids."""
+    text = f"lower(trim(CASE WHEN CAST(id AS BIGINT) % 2 = 1 THEN {odd} ELSE {even} END))"
+    runs = rf"regexp_extract_all({text}, '\p{{L}}+|[^\p{{L}}]+')"
+    return f"array_to_string(list_transform({runs}, lambda run: upper(run[1]) || run[2:]), '')"
+
+
 SELECTS = {
     **{f"q_{name}": f"SELECT * FROM {name}" for name in MODELS if name not in ("dim_date", "dim_service_type")},
     "q_dim_date": """
@@ -230,8 +237,9 @@ SELECTS = {
         FROM mart_aftersales_priority JOIN (SELECT vin FROM fact_after_sales WHERE {INVALID}) USING (vin) GROUP BY vin""",
     "q_dq_serving_exists_rows": f"""
         SELECT * FROM mart_aftersales_priority WHERE vin IN (SELECT vin FROM fact_after_sales WHERE {INVALID})""",
-    "q_addr_title_case": """
-        SELECT id, titled(' rt/rw ' || lower(city), upper(city)) AS city, titled(NULL, 'o''neil-' || lower(province)) AS province
+    "q_addr_title_case": f"""
+        SELECT id, {_titled("upper(city)", "' rt/rw ' || lower(city)")} AS city,
+          {_titled("'o''neil-' || lower(province)", "NULL")} AS province
         FROM raw_customer_addresses""",
     "q_landing_timestamps": """
         SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN date_trunc('second', o_orderdate) WHEN 1 THEN date_trunc('day', o_orderdate)
@@ -244,20 +252,4 @@ SELECTS = {
         WHERE day(d) <> 1 AND NOT (day(d) % 2 = 0 AND day(d) <> 2 AND month(d) % 3 <> 0)""",
 }
 
-_TITLED = (
-    "array_to_string(list_transform(regexp_extract_all(lower(trim(CASE WHEN CAST(id AS BIGINT) % 2 = 1 THEN {odd} ELSE {even} END)), "
-    "'\\p{{L}}+|[^\\p{{L}}]+'), lambda w: upper(w[1]) || w[2:]), '')"
-)
-
-
-def _expand(select: str) -> str:
-    even_odd = {
-        "titled(' rt/rw ' || lower(city), upper(city))": ("' rt/rw ' || lower(city)", "upper(city)"),
-        "titled(NULL, 'o''neil-' || lower(province))": ("NULL", "'o''neil-' || lower(province)"),
-    }
-    for call, (even, odd) in even_odd.items():
-        select = select.replace(call, _TITLED.format(even=even, odd=odd))
-    return select
-
-
-ORACLE_SQL = {name: _with_models(_expand(select)) for name, select in SELECTS.items()}
+ORACLE_SQL = {name: _with_models(select) for name, select in SELECTS.items()}

@@ -60,7 +60,6 @@ def slices_used() -> Column:
 
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join sliced ``rows`` with ``facts`` (one row per group); NULL keys form a group too."""
-    on = [*keys, "_slice"]
     numbers = F.sequence(F.lit(0), F.lit(SLICES - 1))
     used = F.filter(numbers, lambda number: F.getbit(F.col("_slices"), number) == 1)
     per_slice = facts.select(
@@ -68,5 +67,6 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
         *[name for name in facts.columns if name not in (*keys, "_slices")],
         F.explode(used).alias("_fact__slice"),
     )
-    matches = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_fact_{name}")) for name in on])
-    return rows.join(per_slice, matches, "left").drop("_slice", *[f"_fact_{name}" for name in on])
+    same_slice = F.col("_slice") == F.col("_fact__slice")
+    matches = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_fact_{name}")) for name in keys], same_slice)
+    return rows.join(per_slice, matches, "left").drop("_slice", "_fact__slice", *[f"_fact_{name}" for name in keys])
