@@ -2,7 +2,6 @@
 
 from datetime import date, datetime
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -202,7 +201,8 @@ def test_declared_checks_catch_what_they_name(spark):
 
 def test_unexpected_values_count_once_each(spark):
     models = make_models(spark)
-    models["stg_customers"] = models["stg_customers"].withColumn("customer_type", F.expr("CASE WHEN customer_id < 4 THEN 'firm' WHEN customer_id < 6 THEN 'state' END"))
+    kinds = F.expr("CASE WHEN customer_id < 4 THEN 'firm' WHEN customer_id < 6 THEN 'state' END")
+    models["stg_customers"] = models["stg_customers"].withColumn("customer_type", kinds)
     check = next(c for c in checks.declared("accepted_values") if c.table == "stg_customers")
     assert failures_of([check], models).first().failures == 2
     assert sorted(tuple(r) for r in offending(check, models).collect()) == [("firm", 3), ("state", 2)]
@@ -210,7 +210,8 @@ def test_unexpected_values_count_once_each(spark):
 
 def test_serving_checks_match_on_the_vehicle(spark):
     """A vehicle with a valid and a future ticket is rightly in the report and fails both checks."""
-    tickets = [*TICKETS, ("f1", "MAS8160POE", 3, "RANGGO", date(2030, 1, 1), "PM", AT), ("f2", "MAS8160POE", 3, "RANGGO", date(2031, 1, 1), "PM", AT)]
+    future = [(ticket, "MAS8160POE", 3, "RANGGO", date(2030, 1, 1), "PM", AT) for ticket in ("f1", "f2")]
+    tickets = [*TICKETS, *future]
     models = make_models(spark, raw_after_sales=tickets)
     assert checks.assertion(checks.SERVING_INNER, models).first().failures == 2
     assert checks.assertion(checks.SERVING_EXISTS, models).first().failures == 1
