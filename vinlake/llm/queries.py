@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe
+from vinlake.llm import bpe, mixing, simhash
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,5 +25,16 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe}
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_mixing": op2_mixing, "op4_simhash": op4_simhash}
 ORACLE_SQL: dict[str, str] = {}
