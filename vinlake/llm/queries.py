@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, mixing, simhash
+from vinlake.llm import bpe, mixing, simhash, toxicity
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,5 +36,15 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe, "op2_mixing": op2_mixing, "op4_simhash": op4_simhash}
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability that a document is toxic, learned from the labels of three quarters of the ids."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
+    "op2_mixing": op2_mixing,
+    "op4_simhash": op4_simhash,
+    "op9_toxicity": op9_toxicity,
+}
 ORACLE_SQL: dict[str, str] = {}
