@@ -1,0 +1,72 @@
+import math
+import zlib
+
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from vinlake.llm import langid
+from vinlake.llm.common import table
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def every_way(word, chance):
+    """Sum over all segmentations, one by one."""
+    if not word:
+        return 1.0
+    return sum(chance(word[:n]) * every_way(word[n:], chance) for n in range(1, len(word) + 1))
+
+
+def test_forward_and_expected_uses_against_all_segmentations():
+    names = ["▁", "a", "b", "ab", "▁a", "ba", "bab"]
+    pieces, chances = langid.Pieces.of(names), np.random.default_rng(1).random((len(names) + 1, 2))
+    words = ["abab", "baba", "a", "bab", "cabc"]
+    found = langid.log_chances(words, pieces, chances)
+    uses = langid.expected_uses(words, np.ones((5, 2)), pieces, chances)
+    for lang in range(2):
+
+        def chance(piece, lang=lang, changed=None, by=1.0):
+            number = pieces.number.get(piece, len(names) if len(piece) == 1 else None)
+            return 0.0 if number is None else chances[number, lang] * (by if number == changed else 1.0)
+
+        for row, word in enumerate(words):
+            assert math.isclose(found[row, lang], math.log(every_way("▁" + word, chance)))
+        for number in range(len(names) + 1):  # expected uses are the slope of the log sum
+            step = 1e-6
+            slope = sum(
+                math.log(every_way("▁" + w, lambda p: chance(p, changed=number, by=1 + step))) - found[i, lang]
+                for i, w in enumerate(words)
+            )
+            assert math.isclose(uses[number, lang], slope / step, rel_tol=1e-3, abs_tol=1e-4)
+
+
+def test_held_out_accuracy_over_the_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = langid.identify(docs, PATH).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
+
+
+def test_prediction_does_not_read_the_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    turned = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, "xx").otherwise(F.col("lang")))
+    one, other = (sorted(langid.identify(d, PATH).collect()) for d in (docs, turned))
+    assert [(r.doc_id, r.lang_pred) for r in one] == [(r.doc_id, r.lang_pred) for r in other]
+
+
+def test_null_empty_long_repeated_and_clashing(spark):
+    rows = [(0, "the and of that with", "en", 1), (2, "der und die das mit", "de", 1), (4, "the house of the", "en", 1)]
+    rows += [(5, "die und der", "de", 2), (6, "and the", "en", 3), (9, "der die", "de", 0), (11, "of that", "en", 1)]
+    edge = [(20, None, "en", 1), (21, "", None, 1), (22, "123 !! ²", "en", 1), (23, "der und " * 100_000, None, 1)]
+    edge += [(24, "x" * 100_000, None, 1), (24, "x" * 100_000, None, 1), (None, "the and of", None, 1)]
+    docs = spark.createDataFrame(rows + edge, "doc_id long, text string, lang string, score int")
+    out = langid.identify(docs, PATH).collect()
+    assert len(out) == len(rows + edge) and all(0 <= r.score <= 1 for r in out)
+    found = {r.doc_id: r.lang_pred for r in out}
+    assert [found[i] for i in (20, 21, 22, 23, None)] == ["und", "und", "und", "de", "en"]
+    assert langid.identify(docs.limit(0), PATH).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in langid.identify(unlabelled, PATH).collect()} == {"und"}
