@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, mixing, simhash, toxicity
+from vinlake.llm import bpe, langid, mixing, outliers, simhash, toxicity
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,12 +31,22 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text."""
+    return langid.identify(table(spark, folder, "documents"), PIECES)
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and group of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op6_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every text."""
+    return outliers.judge(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Probability that a document is toxic, learned from the labels of three quarters of the ids."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -44,7 +55,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
+    "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op6_outliers": op6_outliers,
     "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
