@@ -1,0 +1,66 @@
+import numpy as np
+import pytest
+from brute_force import plain_components
+
+from vinlake.llm import neighbours
+from vinlake.llm.common import table
+
+
+def plain(rows):
+    """By brute force: n_links and component of every row (id, vector)."""
+    units = []
+    for _, vector in rows:
+        values = None if vector is None or None in vector else np.array(vector, dtype="f8")
+        ok = values is not None and len(values) and np.isfinite(values).all() and values.any()
+        units.append(values / np.linalg.norm(values) if ok else np.zeros(len(rows[0][1])))
+    matrix = np.stack(units)
+    links = matrix @ matrix.T >= 0.95
+    np.fill_diagonal(links, False)
+    roots = plain_components([i for i, _ in rows], [(rows[a][0], rows[b][0]) for a, b in np.argwhere(links)])
+    return {i: (int(links[place].sum()), roots[i]) for place, (i, _) in enumerate(rows)}
+
+
+def made(seed, sizes, width=16):
+    chance, rows = np.random.default_rng(seed), []
+    for size in sizes:
+        centre = chance.standard_normal(width)
+        for _ in range(size):
+            rows.append((len(rows), (centre + chance.standard_normal(width) * 0.08).tolist()))
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [[1] * 300 + [2] * 40 + [12] * 6, [700, 90, 3, 1, 1]])
+def test_groups_of_all_sizes_against_brute_force(spark, monkeypatch, sizes):
+    monkeypatch.setattr(neighbours, "BLOCK", 128)
+    rows = made(1, sizes)
+    out = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    expected = plain(rows)
+    assert len(out) == len(rows)
+    true, found = sum(n for n, _ in expected.values()), sum(r.n_links for r in out)
+    assert all(r.n_links <= expected[r.vec_id][0] for r in out) and found >= 0.99 * true
+    assert np.mean([r.component_id == expected[r.vec_id][1] for r in out]) >= 0.99
+    assert all(r.kept == (r.vec_id == r.component_id) for r in out)
+
+
+def test_whole_table_against_brute_force(spark):
+    rows = table(spark, "/root/testdata/sf0.01", "embeddings")
+    expected = plain([(r.vec_id, r.embedding) for r in rows.collect()])
+    found = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(rows).collect()}
+    assert found == expected
+
+
+def test_copies_nulls_and_vectors_without_direction(spark):
+    one, other = [1.0, 2.0, 3.0], [3.0, -1.0, 0.0]
+    rows = [(1, None, 0), (2, [], 0), (3, [0.0, 0.0, 0.0], 0), (4, [1.0, None, 2.0], 0), (5, [float("nan"), 1.0, 1.0], 0)]
+    rows += [(6, [float("inf"), 1.0, 1.0], 0), (7, [1.0, 2.0], 0), (9, one, 0), (8, one, 0), (8, one, 1), (None, one, 2)]
+    rows += [(10, [2.0, 4.0, 6.001], 0), (11, other, 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, copies int")
+    out = neighbours.near_duplicates(frame).collect()
+    assert len(out) == len(rows)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in out}
+    for alone in (1, 2, 3, 4, 5, 6, 7, 11):
+        assert found[alone] == (0, alone)
+    for linked in (8, 9, 10, None):
+        assert found[linked] == (4, 8)
+    assert neighbours.near_duplicates(frame.limit(0)).count() == 0
+    assert neighbours.near_duplicates(frame.limit(2)).count() == 2

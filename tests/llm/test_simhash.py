@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from brute_force import plain_components
 
 from vinlake.llm import simhash
 from vinlake.llm.common import table
@@ -19,20 +20,6 @@ def plain_fingerprint(text):
     return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
 
 
-def plain_components(ids, links):
-    root = {i: i for i in ids}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for a, b in links:
-        a, b = sorted((find(a), find(b)))
-        root[b] = a
-    return {i: find(i) for i in ids}
-
-
 def plain_links(prints):
     numbers = np.array(prints, dtype=np.uint64)
     for place, one in enumerate(numbers):

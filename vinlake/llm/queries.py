@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, outliers, simhash, toxicity
+from vinlake.llm import bpe, langid, mixing, neighbours, outliers, simhash, toxicity
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op6_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judge(table(spark, folder, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and group of every vector."""
+    return neighbours.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Probability that a document is toxic, learned from the labels of three quarters of the ids."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
     "op6_outliers": op6_outliers,
+    "op7_neighbours": op7_neighbours,
     "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
