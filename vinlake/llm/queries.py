@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, outliers, simhash, toxicity
+from vinlake.llm import bpe, langid, mixing, neighbours, outliers, simhash, toxicity, urls
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts, rule and verdict of every page's URL."""
+    return urls.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -65,5 +70,6 @@ QUERIES: dict[str, Query] = {
     "op6_outliers": op6_outliers,
     "op7_neighbours": op7_neighbours,
     "op9_toxicity": op9_toxicity,
+    "op10_urls": op10_urls,
 }
 ORACLE_SQL: dict[str, str] = {}
