@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, outliers, simhash, toxicity, urls
+from vinlake.llm import bpe, langid, mixing, neighbours, outliers, pii, simhash, toxicity, urls
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text."""
+    found = pii.find(table(spark, folder, "documents"))
+    numbers = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *numbers, F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Probability that a document is toxic, learned from the labels of three quarters of the ids."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -69,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op6_outliers": op6_outliers,
     "op7_neighbours": op7_neighbours,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
 }
