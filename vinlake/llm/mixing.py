@@ -88,13 +88,20 @@ def _crossing(sizes: DataFrame) -> DataFrame:
     return sizes.groupBy("source").agg(F.first("want").alias("want"), parts.alias("parts")).select("source", found.alias("at"))
 
 
-def _with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Join facts per source to rows; a source is spread over slices so that no task has all of it."""
+def _slice(chance: Column) -> Column:
+    return F.floor(chance * F.lit(float(BUCKETS**3)) % SLICES).cast("int")
+
+
+def _spread(facts: DataFrame) -> DataFrame:
+    """Facts per source, once for each slice of its rows, so that no task has a whole source."""
     slices = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
-    spread = facts.withColumnRenamed("source", "_source").withColumn("_other", slices)
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice") == F.col("_other"))
-    sliced = rows.withColumn("_slice", F.floor(F.col("chance") * F.lit(float(BUCKETS**3)) % SLICES).cast("int"))
-    return sliced.join(spread, same, "left").drop("_source", "_slice", "_other")
+    return facts.withColumnRenamed("source", "_source").withColumn("_other", slices)
+
+
+def _with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Join facts per source to rows with ``source`` and ``chance``."""
+    same = F.col("source").eqNullSafe(F.col("_source")) & (_slice(F.col("chance")) == F.col("_other"))
+    return rows.join(_spread(facts), same, "left").drop("_source", "_other")
 
 
 def mix(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFrame:
@@ -106,6 +113,28 @@ def mix(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFrame:
     """
     chance = unit_hash(F.lit(seed), F.col("doc_id"), F.col("text"))
     sized = stored(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), chance.alias("chance")), "sizes")
+    facts = _plan(sized, most)
+    mixed = _with_facts(sized, facts).select("doc_id", "source", "size", "source_size", "target", _times().alias("times"))
+    return mixed.withColumn("taken", F.col("size") * F.col("times"))
+
+
+def repeated(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it. All columns stay; texts are not shuffled unless the
+    table of sources is too large for Spark to broadcast."""
+    chance = unit_hash(F.lit(seed), F.col("doc_id"), F.col("text"))
+    sized = docs.select("source", size_of(F.col("text")).alias("size"), chance.alias("chance"))
+    facts = _plan(stored(sized, "sizes"), most)
+    mine = ["source_size", "target", "whole", "want", "coarse", "fine"]
+    rows = docs.withColumn("_llm_chance", chance)
+    spread = _spread(facts.select("source", F.struct(*mine).alias("_llm_facts")))
+    same = F.col("source").eqNullSafe(F.col("_source")) & (_slice(F.col("_llm_chance")) == F.col("_other"))
+    joined = rows.join(spread, same, "left")
+    times = _times(lambda name: F.col("_llm_chance") if name == "chance" else F.col("_llm_facts")[name])
+    return joined.withColumn("_llm_turn", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+
+
+def _plan(sized: DataFrame, most: float) -> DataFrame:
+    """Per source its size, target, whole repetitions and where the fractional one ends, from ``source, size, chance``."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = stored(targets(stored(repeating_weights(sources), "sources"), most), "targets")
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -122,12 +151,14 @@ def mix(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFrame:
         (F.col("at.bucket") + (F.col("at.want") * 2 >= F.col("at.mass")).cast("int")).alias("fine"),
     )
     facts = _with_plan(_with_plan(plan, coarse.select("source", "coarse")), fine)
-    facts = stored(facts, "facts")
-    steps = F.col("coarse") * BUCKETS + F.col("fine")
-    again = F.floor(F.col("chance") * F.lit(float(BUCKETS**2))) < F.coalesce(steps, F.lit(0))
-    times = (F.coalesce("whole", F.lit(0)) + (again & (F.col("want") > 0)).cast("bigint")).alias("times")
-    mixed = _with_facts(sized, facts).select("doc_id", "source", "size", "source_size", "target", times)
-    return mixed.withColumn("taken", F.col("size") * F.col("times"))
+    return stored(facts, "facts")
+
+
+def _times(of=F.col) -> Column:
+    """How often a row is taken: the whole repetitions, and once more below the threshold."""
+    steps = F.coalesce(of("coarse") * BUCKETS + of("fine"), F.lit(0))
+    again = (F.floor(of("chance") * F.lit(float(BUCKETS**2))) < steps) & (of("want") > 0)
+    return F.coalesce(of("whole"), F.lit(0)) + F.coalesce(again.cast("bigint"), F.lit(0))
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:

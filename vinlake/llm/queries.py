@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, outliers, pii, simhash, toxicity, urls
+from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, toxicity, urls
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op5_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and tail probability of every text, learned from the labels of three quarters of the ids."""
+    return ordinal.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every text."""
     return outliers.judge(table(spark, folder, "documents"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op5_ordinal": op5_ordinal,
     "op6_outliers": op6_outliers,
     "op7_neighbours": op7_neighbours,
     "op8_pii": op8_pii,
