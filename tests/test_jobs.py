@@ -50,4 +50,4 @@ def test_from_drop_to_reports(spark, tmp_path, capsys):
     main(["land", "--drop", at["drop"], "--landing", at["landing"], "--audit", at["audit"], "--date", "20260301"])
     main(["stream", "--drop", at["drop"], "--landing", at["landing"], "--audit", at["audit"], "--checkpoint", at["checkpoint"], "--once"])
     landed = spark.read.parquet(at["landing"]).collect()
-    assert [(row.id, row.city) for row in landed] == [("1", "Bekasi")]
+    assert [(row.id, row.city) for row in landed] == [(1, "Bekasi")]

@@ -4,12 +4,13 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 
 from vinlake.sources import landing
-from vinlake.sources.files import find_files, latest_file, read_text_csv
+from vinlake.sources.files import find_files, latest_file
 from vinlake.sources.landing import land_addresses, read_audit, read_landed
-from vinlake.sources.raw_load import load_latest_addresses, load_source_table
-from vinlake.streaming.address_drop import stream_addresses
+from vinlake.sources.raw_load import load_latest_addresses, load_source_table, read_address_file
+from vinlake.streaming.address_drop import stream_addresses, stream_once
 
 GOOD = " ID ,Customer_Id,ADDRESS,city,Province,created_at\n1,10,Jl A 1, bekasi ,jawa BARAT,2025-03-01 14:24:40\n2,11,,DKI rt/rw,N/A,soon\n"
 MOVED = 'created_at,province,city,address,customer_id,id\n2025/03/02,BALI,denpasar,"Jl B, 2\nBlok ""C""",12,3\n'
@@ -43,9 +44,9 @@ def drop(tmp_path):
 
 
 ROWS = [
-    ("1", "10", "Jl A 1", "Bekasi", "Jawa Barat", datetime(2025, 3, 1, 14, 24, 40)),
-    ("2", "11", None, "Dki Rt/Rw", None, None),
-    ("3", "12", 'Jl B, 2\nBlok "C"', "Denpasar", "Bali", datetime(2025, 3, 2)),
+    (1, 10, "Jl A 1", "Bekasi", "Jawa Barat", datetime(2025, 3, 1, 14, 24, 40)),
+    (2, 11, None, "Dki Rt/Rw", None, None),
+    (3, 12, 'Jl B, 2\nBlok "C"', "Denpasar", "Bali", datetime(2025, 3, 2)),
 ]
 
 
@@ -103,7 +104,7 @@ def test_one_day_only(spark, drop):
 def test_a_file_missing_a_column_loads_with_nulls(spark, drop):
     drop.put("customer_addresses_20250301.csv", "id,customer_id\n7,8\n9\n")
     drop.run(spark)
-    assert drop.rows(spark) == [("7", "8", None, None, None, None), ("9", None, None, None, None, None)]
+    assert drop.rows(spark) == [(7, 8, None, None, None, None), (9, None, None, None, None, None)]
 
 
 def test_crash_between_rows_and_audit_loads_no_row_twice(spark, drop, monkeypatch):
@@ -204,13 +205,92 @@ def test_raw_loads_replace_and_keep_a_snapshot(spark, drop, tmp_path):
 
 
 def test_source_tables_replace(spark, drop, tmp_path):
-    rows = read_text_csv(spark, _put(drop, "customer_addresses_20250301.csv", GOOD))
+    rows = read_address_file(spark, _put(drop, "customer_addresses_20250301.csv", GOOD))
     for _ in range(2):
         assert load_source_table(rows, str(tmp_path / "raw"), "2026-03-28") == 2
     row = spark.read.parquet(str(tmp_path / "raw")).first()
     assert (row._source, row._ingestion_date) == ("mysql", "2026-03-28")
 
 
+def test_stream_takes_files_dated_long_ago_and_logs_empty_ones(spark, drop, tmp_path):
+    drop.put("customer_addresses_20250301.csv", GOOD)
+    drop.stream(spark)
+    for day, age in (("20250310", 40), ("20250311", 8)):
+        drop.put(f"customer_addresses_{day}.csv", GOOD)
+        then = datetime.now().timestamp() - age * 86_400
+        os.utime(os.path.join(drop.folder, f"customer_addresses_{day}.csv"), (then, then))
+    drop.put("customer_addresses_20250312.csv", "")
+    stream_once(spark, drop.folder, drop.landing, drop.audit, str(tmp_path / "checkpoint"))
+    outcomes = drop.outcomes(spark)
+    assert [outcomes[day][0] for day in ("20250310", "20250311")] == ["success", "success"]
+    assert outcomes["20250312"] == ("failed", 0, "no columns in file") and len(drop.rows(spark)) == 6
+
+
+@pytest.mark.parametrize("lines", [1, 2])
+def test_a_quote_inside_a_field_is_text(spark, drop, monkeypatch, lines):
+    rows = [f'{n},1,Pipa 5" Jaya {n}' for n in range(lines)]
+    path = _put(drop, "customer_addresses_20250301.csv", "id,customer_id,address\n" + "\n".join(rows) + "\n")
+    assert not landing.inspect(spark, [path])[0].multi_line
+    drop.run(spark)
+    assert [row[2] for row in drop.rows(spark)] == [f'Pipa 5" Jaya {n}' for n in range(lines)]
+
+
+def test_a_file_with_ids_that_are_no_whole_numbers_fails_whole(spark, drop):
+    drop.put("customer_addresses_20250301.csv", "id,customer_id\n1,2\nx,3\n4,9999999999\n")
+    drop.run(spark)
+    assert drop.outcomes(spark) == {"20250301": ("failed", 0, "2 rows with an id that is no whole number")}
+    assert drop.rows(spark) == []
+
+
+def test_a_very_long_first_line_stays_off_the_driver(spark, drop):
+    drop.put("customer_addresses_20250301.csv", "id," * 30_000)
+    drop.run(spark)
+    assert drop.outcomes(spark)["20250301"] == ("failed", 0, "first line has over 65536 characters")
+
+
+def test_errors_are_logged_whole_and_only_those_of_files(spark, drop, monkeypatch):
+    path = _put(drop, "customer_addresses_20250301.csv", GOOD)
+    landing.make_tables(spark, drop.landing, drop.audit)
+    calls = []
+
+    def fail(message):
+        def load(*_):
+            calls.append(message)
+            raise PySparkException(message)
+
+        monkeypatch.setattr(landing, "_load", load)
+
+    fail("[FAILED_READ_FILE] " + "x" * 5_000)
+    landing.load_files(spark, [path], drop.landing, drop.audit)
+    assert len(drop.outcomes(spark)["20250301"][2]) > 5_000
+    fail("executors were lost")
+    with pytest.raises(PySparkException):
+        landing.load_files(spark, [path, path], drop.landing, drop.audit)
+    assert calls.count("executors were lost") == 2
+
+
+@pytest.mark.parametrize(
+    ("content", "error"),
+    [
+        ("id,city\n1,2,3\n", "more fields"),
+        (b"id,city\n1,\xff\n", "UTF-8"),
+        ('id,city\n1,"2\n', "never closed"),
+        ("", "no columns|no address file"),
+    ],
+)
+def test_raw_load_takes_files_whole_or_not_at_all(spark, drop, tmp_path, content, error):
+    drop.put("customer_addresses_20250301.csv", content)
+    with pytest.raises((ValueError, FileNotFoundError), match=error):
+        load_latest_addresses(spark, drop.folder, str(tmp_path / "lake"), str(tmp_path / "raw"))
+
+
+def test_raw_load_keeps_line_breaks_in_quoted_values(spark, drop, tmp_path):
+    drop.put("customer_addresses_20250301.csv", 'id,Address,zip\n1,"Jl B, 2\nBlok ""C""",9\n2,b,\n')
+    assert load_latest_addresses(spark, drop.folder, str(tmp_path / "lake"), str(tmp_path / "raw")) == 2
+    rows = {row.id: row for row in spark.read.parquet(str(tmp_path / "raw")).collect()}
+    assert rows["1"].address == 'Jl B, 2\nBlok "C"' and rows["1"].zip == "9" and rows["2"].zip is None
+
+
 def _put(drop, name, content):
     drop.put(name, content)
     return os.path.join(drop.folder, name)

@@ -20,7 +20,7 @@ from vinlake.sources.jdbc import read_table_by_number_key, read_table_by_text_ke
 from vinlake.sources.landing import land_addresses
 from vinlake.sources.raw_load import load_latest_addresses, load_source_table
 from vinlake.sources.tables import read_raw
-from vinlake.streaming.address_drop import stream_addresses
+from vinlake.streaming.address_drop import stream_addresses, stream_once
 
 # Key of each source table, and how to split a read by it.
 SOURCE_KEYS = {
@@ -41,7 +41,10 @@ def _land(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    stream_addresses(spark, args.drop, args.landing, args.audit, args.checkpoint, args.once).awaitTermination()
+    if args.once:
+        stream_once(spark, args.drop, args.landing, args.audit, args.checkpoint)
+    else:
+        stream_addresses(spark, args.drop, args.landing, args.audit, args.checkpoint, once=False).awaitTermination()
 
 
 def _load_addresses(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     DateType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -53,9 +54,10 @@ RAW_TABLES = {
     "raw_customer_addresses": RAW_CUSTOMER_ADDRESSES,
 }
 
+# The landing table's ids are whole numbers; the raw table keeps them as text.
 LANDED_ADDRESSES = _struct(
-    id=StringType(),
-    customer_id=StringType(),
+    id=IntegerType(),
+    customer_id=IntegerType(),
     address=StringType(),
     city=StringType(),
     province=StringType(),

@@ -42,17 +42,6 @@ def latest_file(files: DataFrame) -> tuple[str, str]:
     return newest.path, newest.source_file
 
 
-def tidy_names(rows: DataFrame) -> DataFrame:
-    """Column names without blanks around them, in lower case."""
-    return rows.toDF(*[name.strip().lower() for name in rows.columns])
-
-
-def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A CSV file as it is, every column text, with tidy column names."""
-    rows = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, inferSchema=False).csv(path)
-    return tidy_names(rows)
-
-
 def read_text_columns(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> DataFrame:
     """CSV files that share a header, every column text; ``_overflow`` has what exceeds the header."""
     schema = StructType([StructField(name, StringType()) for name in [*names, "_overflow"]])

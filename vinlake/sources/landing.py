@@ -9,9 +9,10 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vinlake.fixed_values import LANDING_PIPELINE
@@ -22,6 +23,7 @@ from vinlake.sources.tables import empty_table, replace_partitions
 
 FILES_PER_LOAD = 1000  # bounds what one load keeps per file on the driver: name, header, counts
 EXPECTED = RAW_CUSTOMER_ADDRESSES.names
+NUMBERS = ("id", "customer_id")  # whole numbers in the landing table; a file with any other fails
 
 
 @dataclass(frozen=True)
@@ -51,57 +53,91 @@ def not_loaded(files: DataFrame, audit: DataFrame) -> DataFrame:
     return files.join(done.select("source_file"), "source_file", "left_anti")
 
 
+def whole_number(text: Column) -> Column:
+    """A number of the size the table's ids have, NULL where the text is none; a missing text is missing."""
+    return blank_to_null(text).try_cast("int")
+
+
 def clean_addresses(rows: DataFrame) -> DataFrame:
     """Standard form for places and times; everything else as it came."""
     columns = {name: blank_to_null(F.col(name)) for name in EXPECTED}
     for place in ("city", "province"):
         columns[place] = title_words(strip_space(columns[place]))
+    for name in NUMBERS:
+        columns[name] = whole_number(columns[name])
     columns["created_at"] = mixed_timestamp(columns["created_at"])
     return rows.withColumns({**columns, "loaded_at": F.current_timestamp()})
 
 
-def _header_names(line: str) -> tuple[str, ...]:
-    return tuple(name.strip().strip('"').strip().lower() for name in line.removeprefix("\ufeff").split(","))
+# A field is quoted if a quote is its first character; any other quote is text.
+QUOTED_FIELD = r'(?<![^,\r\n])"(?:[^"]++|"")*+"'
+OPENING_QUOTE = r'(?<![^,\r\n])"'
+HEADER_LENGTH = 65_536  # characters; no longer first line is taken for a header, nor sent to the driver
 
 
-def _header_error(header: tuple[str, ...]) -> str | None:
-    unknown = sorted(set(header) - set(EXPECTED))
+def _header_error(header: tuple[str, ...], known: Sequence[str] | None) -> str | None:
+    unknown = sorted(set(header) - set(known)) if known is not None else []
     if unknown:
         return f"unknown column: {', '.join(unknown)}"
     return None if len(set(header)) == len(header) else "repeated column"
 
 
-def inspect(spark: SparkSession, paths: Sequence[str]) -> list[Arrival]:
-    """Header and health of each file, from one pass over their lines."""
+def _left_open(text: Column) -> Column:
+    """Whether a quoted field begins in the text and does not end in it."""
+    return F.regexp_replace(text, QUOTED_FIELD, "").rlike(OPENING_QUOTE)
+
+
+def _never_closed(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Names of files whose last quoted field has no end. Each is read as one text, as its rows have to be."""
+    whole = spark.read.text(list(paths), wholetext=True)
+    open_ones = whole.where(_left_open(F.col("value"))).select(F.col("_metadata.file_name").alias("name"))
+    return {row.name for row in open_ones.collect()}
+
+
+def inspect(spark: SparkSession, paths: Sequence[str], known: Sequence[str] | None = EXPECTED) -> list[Arrival]:
+    """Header and health of each file, from one pass over their lines.
+
+    Headers are split on the executors, and only those of a sane length reach the driver. Files in
+    which a quoted field goes on over a line break are looked at once more, as a whole.
+    """
     line = F.col("value")
     number = F.monotonically_increasing_id()  # grows along the lines of a file's first block
     first_lines = (F.col("block_start") == 0) & (F.trim(line) != "")
-    odd_quotes = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2
+    short = F.when(F.length(line) <= HEADER_LENGTH, line)
+    names = F.transform(
+        F.split(F.regexp_replace("first.value", "^\ufeff", ""), ",", -1),
+        lambda name: F.lower(strip_space(F.regexp_replace(strip_space(name), '^"+|"+$', ""))),
+    )
     seen = (
         spark.read.text(list(paths))
         .select("value", F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("block_start"))
         .withColumn("number", number)
         .groupBy("name")
         .agg(
-            F.min(F.when(first_lines, F.struct("number", "value"))).alias("first"),
-            F.sum(odd_quotes).alias("odd_lines"),
+            F.min(F.when(first_lines, F.struct("number", short.alias("value")))).alias("first"),
+            F.max(_left_open(line)).alias("open_lines"),
             F.min(F.is_valid_utf8(line)).alias("is_text"),
         )
+        .select("name", F.col("first").isNotNull().alias("has_first"), names.alias("header"), "open_lines", "is_text")
     )
     found = {row.name: row for row in seen.collect()}
+    across = [path for path in paths if (row := found.get(path.rsplit("/", 1)[-1])) and row.is_text and row.open_lines]
+    unclosed = _never_closed(spark, across) if across else set()
     arrivals = []
     for path in paths:
         name = path.rsplit("/", 1)[-1]
         row = found.get(name)
-        if row is None or row.first is None:
+        if row is None or not row.has_first:
             arrivals.append(Arrival(path, name, error="no columns in file"))
         elif not row.is_text:
             arrivals.append(Arrival(path, name, error="not valid UTF-8"))
-        elif row.odd_lines % 2:
+        elif row.header is None:
+            arrivals.append(Arrival(path, name, error=f"first line has over {HEADER_LENGTH} characters"))
+        elif name in unclosed:
             arrivals.append(Arrival(path, name, error="a quote is never closed"))
         else:
-            header = _header_names(row.first.value)
-            arrivals.append(Arrival(path, name, header, row.odd_lines > 0, _header_error(header)))
+            header = tuple(row.header)
+            arrivals.append(Arrival(path, name, header, row.open_lines, _header_error(header, known)))
     return arrivals
 
 
@@ -118,11 +154,16 @@ def read_arrivals(spark: SparkSession, arrivals: Sequence[Arrival]) -> DataFrame
     return reduce(DataFrame.unionByName, frames)
 
 
-def _count_rows(spark: SparkSession, arrivals: Sequence[Arrival]) -> dict[str, tuple[int, int]]:
-    """Rows of each file, and how many have more fields than the header."""
+def _count_rows(spark: SparkSession, arrivals: Sequence[Arrival]) -> dict[str, Row]:
+    """Rows of each file, how many have more fields than the header, and how many an id that is no whole number."""
     rows = read_arrivals(spark, arrivals).groupBy("source_file")
-    counts = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_overflow").alias("n_long"))
-    return {row.source_file: (row.n_rows, row.n_long) for row in counts.collect()}
+    no_number = [blank_to_null(F.col(name)).isNotNull() & whole_number(F.col(name)).isNull() for name in NUMBERS]
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("_overflow").alias("n_long"),
+        F.count_if(reduce(or_, no_number)).alias("n_no_number"),
+    )
+    return {row.source_file: row for row in counts.collect()}
 
 
 def _write_audit(spark: SparkSession, path: str, outcomes: list[tuple[str, str, int, str | None]]) -> None:
@@ -138,32 +179,46 @@ def _load(spark: SparkSession, paths: Sequence[str], landing: str, audit: str) -
     counts = _count_rows(spark, sound) if sound else {}
     good = []
     for arrival in sound:
-        n_rows, n_long = counts.get(arrival.name, (0, 0))
-        if n_long:
-            outcomes.append((arrival.name, "failed", 0, f"{n_long} rows with more fields than the header"))
+        seen = counts.get(arrival.name)
+        if seen and seen.n_long:
+            outcomes.append((arrival.name, "failed", 0, f"{seen.n_long} rows with more fields than the header"))
+        elif seen and seen.n_no_number:
+            outcomes.append((arrival.name, "failed", 0, f"{seen.n_no_number} rows with an id that is no whole number"))
         else:
             good.append(arrival)
-            outcomes.append((arrival.name, "success", n_rows, None))
+            outcomes.append((arrival.name, "success", seen.n_rows if seen else 0, None))
     if good:
         rows = clean_addresses(read_arrivals(spark, good)).select(*LANDED_ADDRESSES.names)
         replace_partitions(rows, landing, "source_file")
     _write_audit(spark, audit, outcomes)
 
 
-def load_files(spark: SparkSession, paths: Sequence[str], landing: str, audit: str) -> None:
-    """Load files and log each. A file that cannot be read fails alone.
+def is_file_error(error: PySparkException) -> bool:
+    """Whether a failure is a file's own, not the cluster's."""
+    text = f"{error.getCondition()} {error}"
+    return any(mark in text for mark in ("FAILED_READ_FILE", "PATH_NOT_FOUND", "FileNotFoundException", "MALFORMED_CSV"))
 
-    If a load breaks, its files are loaded in two halves, down to the file at fault.
+
+def load_files(spark: SparkSession, paths: Sequence[str], landing: str, audit: str, again: bool = True) -> None:
+    """Load files and log each. A file that cannot be read fails alone, with the whole error in the log.
+
+    If a load breaks on a file, its files are loaded in two halves, down to the file at fault. Any
+    other failure is not the files': it is tried once more, then raised, and nothing is logged.
     """
     try:
         _load(spark, paths, landing, audit)
     except PySparkException as error:
+        if not is_file_error(error):
+            if not again:
+                raise
+            load_files(spark, paths, landing, audit, again=False)
+            return
         if len(paths) == 1:
-            _write_audit(spark, audit, [(paths[0].rsplit("/", 1)[-1], "failed", 0, str(error)[:1000])])
+            _write_audit(spark, audit, [(paths[0].rsplit("/", 1)[-1], "failed", 0, str(error))])
             return
         middle = len(paths) // 2
-        load_files(spark, paths[:middle], landing, audit)
-        load_files(spark, paths[middle:], landing, audit)
+        load_files(spark, paths[:middle], landing, audit, again)
+        load_files(spark, paths[middle:], landing, audit, again)
 
 
 def make_tables(spark: SparkSession, landing: str, audit: str) -> None:
@@ -172,14 +227,16 @@ def make_tables(spark: SparkSession, landing: str, audit: str) -> None:
     empty_table(spark, audit, AUDIT_LOG, "pipeline", "source_file")
 
 
-def pending_paths(files: DataFrame, audit: DataFrame) -> list[str]:
-    """Paths still to load, in order of name. Paths only: Spark keeps those on the driver anyway."""
-    return [row.path for row in not_loaded(well_named(files), audit).orderBy("source_file").collect()]
+def pending_paths(files: DataFrame, audit: DataFrame, after: str = "") -> list[str]:
+    """Paths of the next files to load, in order of name: at most ``FILES_PER_LOAD``, with names after the given one."""
+    pending = not_loaded(well_named(files), audit).where(F.col("source_file") > after)
+    return [row.path for row in pending.orderBy("source_file").limit(FILES_PER_LOAD).collect()]
 
 
 def land_addresses(spark: SparkSession, folder: str, landing: str, audit: str, day: str = "*") -> None:
     """Load the files of a day, or all, that were not loaded before."""
     make_tables(spark, landing, audit)
-    paths = pending_paths(list_files(spark, folder, day), read_audit(spark, audit))
-    for start in range(0, len(paths), FILES_PER_LOAD):
-        load_files(spark, paths[start : start + FILES_PER_LOAD], landing, audit)
+    files, after = list_files(spark, folder, day), ""
+    while paths := pending_paths(files, read_audit(spark, audit), after):
+        load_files(spark, paths, landing, audit)
+        after = paths[-1].rsplit("/", 1)[-1]
