@@ -14,7 +14,7 @@ from vinlake.plans import checks, core
 from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, stg_sales
 from vinlake.sources.jdbc import hash_predicates
 from vinlake.schemas import RAW_SALES
-from vinlake.sources.tables import append_files, read_raw, replace_partitions
+from vinlake.sources.tables import read_raw, replace_partitions
 
 AT = datetime(2025, 1, 1)
 
@@ -261,9 +261,6 @@ def test_sinks(spark, tmp_path):
     replace_partitions(rows, path, "part")
     replace_partitions(spark.createDataFrame([(3, "b")], "n INT, part STRING"), path, "part")
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
-    for _ in range(2):
-        append_files(rows, str(tmp_path / "appended"))
-    assert spark.read.parquet(str(tmp_path / "appended")).count() == 4
 
 
 def test_first_per_key_keeps_columns(spark):
@@ -271,4 +268,3 @@ def test_first_per_key_keeps_columns(spark):
     cleaned = cleaned_sales(sales)
     first = first_per_key(cleaned, list(SALE_KEYS), SALE_ORDER, rows_as="n")
     assert first.columns == [*cleaned.columns, "n"] and {r.n for r in first.collect() if r.model == "VELOS"} == {2}
-    assert len(ADDRESSES) == 2

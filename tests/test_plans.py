@@ -57,9 +57,10 @@ def test_counts_and_sums_are_hashed_not_sorted(spark):
 
 
 @pytest.fixture(scope="module")
-def monthly(spark):
+def monthly(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("marts") / "fact_sales")
     facts = models(spark, "/root/testdata/sf0.01")["fact_sales"]
-    return as_monthly_table(facts, "fact_sales", "plan_marts", "invoice_date", ["customer_id", "price_class"], key="vin")
+    return as_monthly_table(facts, path, "invoice_date", ["customer_id", "price_class"], key="vin")
 
 
 def test_a_span_of_days_reads_only_its_months(monthly):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from vinlake.operators import as_planned, in_folder
 from vinlake.plans.models import Models
-from vinlake.plans.warehouse import GateFailed, Schemas, build
+from vinlake.plans.warehouse import GateFailed, Schemas, build, stored_marts
 from vinlake.schemas import RAW_TABLES
 from vinlake.session import work_folder
+from vinlake.sources.tables import published
 
 
 def _at(text):
@@ -119,22 +120,24 @@ def test_dimensions(seed):
 
 
 def test_all_checks_pass_and_tables_are_stored(spark, tmp_path):
-    kept = in_folder(work_folder(spark, str(tmp_path)))
-    outcome = build(make_models(spark, keep=kept), Schemas(marts="seed_marts"))
+    kept, schemas = in_folder(work_folder(spark, str(tmp_path))), Schemas(str(tmp_path / "warehouse"), marts=None)
+    outcome = build(make_models(spark, keep=kept), schemas)
     assert len(outcome) == 38 and all(row.failures == 0 for row in outcome)
-    facts = spark.table("seed_marts.fact_sales")
-    assert facts.count() == 4 and {"dbt_loaded_at", "invoice_date_month"} <= set(facts.columns)
-    assert {row.tableName for row in spark.sql("SHOW TABLES IN seed_marts").collect()} >= {
+    assert schemas.marts_folder.endswith("warehouse/warehouse")
+    marts = stored_marts(spark, schemas)
+    assert marts["fact_sales"].count() == 4
+    assert {"dbt_loaded_at", "invoice_date_month"} <= set(marts["fact_sales"].columns)
+    assert set(marts) == {
         "dim_customer", "dim_vehicle", "dim_date", "dim_service_type", "fact_sales", "fact_after_sales",
         "mart_sales_summary", "mart_aftersales_priority",
     }
     assert spark.table("stg_sales").count() == 5
 
 
-def test_a_bad_layer_stops_the_run(spark):
-    unpriced = [*SALES[:4], (*SALES[4][:4], "N/A", SALES[4][5])]
+def test_a_bad_layer_stops_the_run(spark, tmp_path):
+    unpriced, schemas = [*SALES[:4], (*SALES[4][:4], "N/A", SALES[4][5])], Schemas(str(tmp_path / "warehouse"))
     with pytest.raises(GateFailed, match=r"^staging: not_null_stg_sales_price \(1\)$"):
-        build(make_models(spark, raw_sales=unpriced), Schemas(marts="stopped_marts"))
-    assert not spark.catalog.databaseExists("stopped_marts")
+        build(make_models(spark, raw_sales=unpriced), schemas)
+    assert published(spark, schemas.marts_folder) is None
     with pytest.raises(GateFailed, match="empty raw tables: raw_sales"):
-        build(make_models(spark, raw_sales=[]))
+        build(make_models(spark, raw_sales=[]), schemas)

@@ -1,21 +1,22 @@
 """The jobs, for ``spark-submit``: land, stream, load-addresses, load-table, check and build.
 
     spark-submit --py-files vinlake.zip vinlake/jobs.py land --drop DIR --landing DIR --audit DIR [--date 20260301]
-    spark-submit --py-files vinlake.zip vinlake/jobs.py build --raw DIR [--as-of 2026-03-01] [--marts marts]
+    spark-submit --py-files vinlake.zip vinlake/jobs.py build --raw DIR --warehouse DIR [--as-of 2026-03-01] [--marts marts]
 """
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vinlake.operators import in_folder
-from vinlake.plans.models import DIMENSIONS, FACTS, REPORTS, Models
-from vinlake.plans.warehouse import Schemas, build, gate
+from vinlake.plans.models import Models
+from vinlake.plans.warehouse import Schemas, build, gate, stored_marts
 from vinlake.schemas import RAW_TABLES
-from vinlake.session import get_session, work_folder
+from vinlake.session import get_session, remove_folder, work_folder
 from vinlake.sources.jdbc import read_table_by_number_key, read_table_by_text_key
 from vinlake.sources.landing import land_addresses
 from vinlake.sources.raw_load import load_latest_addresses, load_source_table
@@ -30,10 +31,16 @@ SOURCE_KEYS = {
 }
 
 
-def _models(spark: SparkSession, args: argparse.Namespace) -> Models:
+@contextmanager
+def _models(spark: SparkSession, args: argparse.Namespace) -> Iterator[Models]:
+    """The models over the raw tables, with a folder for intermediate tables that goes when the job ends."""
     raw = {name: partial(read_raw, spark, f"{args.raw}/{name}", name) for name in RAW_TABLES}
     as_of = F.lit(args.as_of).cast("date") if args.as_of else None
-    return Models(spark, raw, as_of, in_folder(work_folder(spark, args.work)))
+    folder = work_folder(spark, args.work)
+    try:
+        yield Models(spark, raw, as_of, in_folder(folder))
+    finally:
+        remove_folder(spark, folder)
 
 
 def _land(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -58,17 +65,18 @@ def _load_table(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _check(spark: SparkSession, args: argparse.Namespace) -> None:
-    models = _models(spark, args)
-    for name in (*DIMENSIONS, *FACTS, *REPORTS):
-        if spark.catalog.tableExists(f"{args.marts}.{name}"):
-            models[name] = spark.table(f"{args.marts}.{name}")
-    for row in gate(args.layer, models):
-        print(row.check_name, row.failures)
+    with _models(spark, args) as models:
+        if args.layer == "marts":
+            for name, rows in stored_marts(spark, Schemas(args.warehouse, args.default, args.marts)).items():
+                models[name] = rows
+        for row in gate(args.layer, models):
+            print(row.check_name, row.failures)
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
-    for row in build(_models(spark, args), Schemas(args.default, args.marts)):
-        print(row.check_name, row.failures)
+    with _models(spark, args) as models:
+        for row in build(models, Schemas(args.warehouse, args.default, args.marts)):
+            print(row.check_name, row.failures)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -90,9 +98,9 @@ def parser() -> argparse.ArgumentParser:
     table = job("load-table", _load_table, "url", "source", "raw", ingestion_date=None)
     table.add_argument("--table", required=True, choices=SOURCE_KEYS)
     table.add_argument("--parts", type=int, default=16)
-    check = job("check", _check, "raw", as_of=None, work=None, marts="marts")
+    check = job("check", _check, "raw", "warehouse", as_of=None, work=None, default="warehouse", marts="marts")
     check.add_argument("--layer", required=True, choices=["staging", "intermediate", "marts"])
-    job("build", _build, "raw", as_of=None, work=None, default="warehouse", marts="marts")
+    job("build", _build, "raw", "warehouse", as_of=None, work=None, default="warehouse", marts="marts")
     return top
 
 

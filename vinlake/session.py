@@ -29,9 +29,15 @@ def get_session(app: str = "vinlake", master: str | None = None, **settings: str
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """A new folder for a run's intermediate tables, in the shared folder that the cluster names."""
-    shared = spark.conf.get("spark.checkpoint.dir", fallback)
+def work_folder(spark: SparkSession, wanted: str | None = None) -> str:
+    """A new folder for a run's intermediate tables: in the wanted folder, else in the shared one that the cluster names."""
+    shared = wanted or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         raise ValueError("spark.checkpoint.dir is not set and no other folder was given")
     return f"{shared.rstrip('/')}/vinlake-{uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a run has made, in whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

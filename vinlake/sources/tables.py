@@ -1,5 +1,6 @@
 """Writing and reading tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -26,11 +27,6 @@ def replace_files(rows: DataFrame, path: str) -> int:
     return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
 
 
-def append_files(rows: DataFrame, path: str) -> None:
-    """Append to a Parquet table."""
-    rows.write.mode("append").parquet(path)
-
-
 def replace_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
     """Replace just the partitions that occur in ``rows``. Repeating a load changes nothing."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -53,12 +49,31 @@ def as_view(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.table(name)
 
 
-def as_table(rows: DataFrame, name: str, schema: str) -> DataFrame:
-    """Write a table in full and return it as stored."""
-    spark = rows.sparkSession
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    rows.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
-    return spark.table(f"{schema}.{name}")
+def as_table(rows: DataFrame, path: str) -> DataFrame:
+    """Write a table to a new folder, in full, and return it as stored."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def publish(spark: SparkSession, folder: str, run: str) -> None:
+    """Make a finished run the one that readers of the folder see.
+
+    The log of publications only grows, by one small file that appears when it is complete. So readers see the
+    earlier run or the new one, and a run that dies before this point changes nothing for them.
+    """
+    row = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/_published")
+
+
+def published(spark: SparkSession, folder: str) -> str | None:
+    """The run that was published last, None if there is none."""
+    try:
+        log = spark.read.schema("run STRING, published_at TIMESTAMP").parquet(f"{folder}/_published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return log.agg(F.max_by("run", F.struct("published_at", "run"))).first()[0]
 
 
 def by_month(rows: DataFrame, day: str, month: str, *cluster_by: str) -> DataFrame:
@@ -72,16 +87,15 @@ def by_month(rows: DataFrame, day: str, month: str, *cluster_by: str) -> DataFra
     return laid_out.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def as_monthly_table(rows: DataFrame, name: str, schema: str, day: str, cluster_by: list[str], key: str) -> DataFrame:
-    """Write a table partitioned by the month of ``day`` and clustered by the given columns.
+def as_monthly_table(rows: DataFrame, path: str, day: str, cluster_by: list[str], key: str) -> DataFrame:
+    """Write a table partitioned by the month of ``day`` and clustered by the given columns to a new folder.
 
     The month column is named ``<day>_month``; readers filter on it to prune partitions.
     """
-    spark, month = rows.sparkSession, f"{day}_month"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    month = f"{day}_month"
     laid_out = by_month(rows, day, month, *cluster_by, key)
-    laid_out.write.mode("overwrite").partitionBy(month).saveAsTable(f"{schema}.{name}")
-    return spark.table(f"{schema}.{name}")
+    laid_out.write.partitionBy(month).parquet(path)
+    return rows.sparkSession.read.schema(laid_out.schema).parquet(path)
 
 
 def days_between(rows: DataFrame, day: str, first: str, last: str) -> DataFrame:
