@@ -54,6 +54,21 @@ def test_landing_timestamps(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_landing_timestamps_in_other_shapes(spark):
+    day, noon = datetime(2025, 1, 14), datetime(2025, 1, 14, 12, 5)
+    expected = {
+        "14/01/2025 10:00": day.replace(hour=10), "01/14/2025": day, "14-01-2025": day, "01-03-2025": datetime(2025, 1, 3),
+        "03/04/2025": datetime(2025, 3, 4), "2025-03-01 02:24 PM": datetime(2025, 3, 1, 14, 24), "2025-01-14 12:05 pm": noon,
+        "2025-01-14 12:05:07 AM": datetime(2025, 1, 14, 0, 5, 7), "Mar 1 2025": datetime(2025, 3, 1), "1 March 2025": datetime(2025, 3, 1),
+        "March 1st, 2025 2:24 pm": datetime(2025, 3, 1, 14, 24), "1-Mar-2025": datetime(2025, 3, 1),
+        "20250309 101112": datetime(2025, 3, 9, 10, 11, 12), "2025-03-01T14:24:40+07:00": datetime(2025, 3, 1, 14, 24, 40),
+        "2025-03-01T14:24:40.5Z": datetime(2025, 3, 1, 14, 24, 40, 500000), "2025.03.01": datetime(2025, 3, 1),
+        "2025-01-14 13:05 PM": None, "2025-01-14 25:00": None, "Mai 1 2025": None, "31/02/2025": None, "14/13/2025": None,
+        "2025-03-01 soon": None, "202503011": None, "": None, "12": None,
+    }
+    assert dict(zip(expected, apply(spark, mixed_timestamp, list(expected)), strict=True)) == expected
+
+
 def test_price_classes_at_their_bounds(spark):
     prices = [None, -5, 99_999_999, 100_000_000, 250_000_000, 250_000_001, 400_000_000, 400_000_001]
     classes = ["UNDEFINED"] * 3 + ["LOW", "LOW", "MEDIUM", "MEDIUM", "HIGH"]

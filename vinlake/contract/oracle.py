@@ -49,6 +49,9 @@ RAW_TABLES = {
         WHERE c_custkey % 13 <> 0 AND k <= c_custkey % 3""",
 }
 
+# The same with an address for every customer.
+EVERY_ADDRESS = RAW_TABLES["raw_customer_addresses"].replace("c_custkey % 13 <> 0 AND ", "")
+
 MODELS = {
     "stg_customers": """
         SELECT id AS customer_id, name AS customer_name,
@@ -83,8 +86,8 @@ MODELS = {
         FROM stg_customers c LEFT JOIN stg_customer_addresses a ON a.customer_id = c.customer_id""",
     "int_sales_enriched": """
         SELECT s.vin, s.customer_id, c.customer_name, c.customer_type, s.model, s.invoice_date, s.price,
-          CASE WHEN s.price > 400000000 THEN 'HIGH' WHEN s.price >= 250000001 THEN 'MEDIUM'
-               WHEN s.price > 250000000 OR s.price < 100000000 OR s.price IS NULL THEN 'UNDEFINED' ELSE 'LOW' END AS price_class,
+          CASE WHEN s.price BETWEEN 100000000 AND 250000000 THEN 'LOW' WHEN s.price BETWEEN 250000001 AND 400000000 THEN 'MEDIUM'
+               WHEN s.price > 400000000 THEN 'HIGH' ELSE 'UNDEFINED' END AS price_class,
           strftime(s.invoice_date, '%Y-%m') AS periode, s.is_duplicate_suspect, s.created_at,
           row_number() OVER (PARTITION BY s.customer_id, s.model, s.invoice_date
                              ORDER BY s.created_at ASC NULLS FIRST, s.vin ASC) = 1 AS is_canonical
@@ -117,7 +120,7 @@ MODELS = {
         FROM fact_sales GROUP BY ALL""",
     "mart_aftersales_priority": """
         SELECT s.periode, s.vin, c.customer_name, c.full_address AS address, s.count_service,
-          CASE WHEN s.count_service < 5 THEN 'LOW' WHEN s.count_service <= 10 THEN 'MED' ELSE 'HIGH' END AS priority
+          CASE WHEN s.count_service > 10 THEN 'HIGH' WHEN s.count_service >= 5 THEN 'MED' ELSE 'LOW' END AS priority
         FROM (SELECT CAST(year(date_id) AS BIGINT) AS periode, vin, customer_id, count(service_ticket) AS count_service
               FROM fact_after_sales WHERE NOT (is_vin_not_in_sales OR is_future_date) GROUP BY ALL) s
         LEFT JOIN dim_customer c ON c.customer_id = s.customer_id""",
@@ -240,11 +243,13 @@ SELECTS = {
     "q_addr_title_case": f"""
         SELECT id, {_titled("upper(city)", "' rt/rw ' || lower(city)")} AS city,
           {_titled("'o''neil-' || lower(province)", "NULL")} AS province
-        FROM raw_customer_addresses""",
+        FROM ({EVERY_ADDRESS})""",
     "q_landing_timestamps": """
-        SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN date_trunc('second', o_orderdate) WHEN 1 THEN date_trunc('day', o_orderdate)
-            WHEN 2 THEN date_trunc('day', o_orderdate) WHEN 3 THEN date_trunc('second', o_orderdate)
-            WHEN 4 THEN date_trunc('second', o_orderdate) END AS created_at, CAST(o_orderdate AS DATE) AS day
+        SELECT o_orderkey, CASE WHEN o_orderkey % 13 IN (0, 2, 3, 4, 9, 11) THEN date_trunc('second', o_orderdate)
+            WHEN o_orderkey % 13 = 6 AND day(o_orderdate) <= 12 THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate),
+                hour(o_orderdate), minute(o_orderdate), 0)
+            WHEN o_orderkey % 13 IN (6, 7) THEN date_trunc('minute', o_orderdate)
+            WHEN o_orderkey % 13 IN (1, 8, 10) THEN date_trunc('day', o_orderdate) END AS created_at, CAST(o_orderdate AS DATE) AS day
         FROM orders""",
     "q_landing_pending_files": """
         SELECT d AS day, n AS n_rows, 'customer_addresses_' || strftime(d, '%Y%m%d') || '.csv' AS source_file

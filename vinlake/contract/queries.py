@@ -85,7 +85,7 @@ def report_rows_with_invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 def address_title_case(spark: SparkSession, folder: str) -> DataFrame:
     """City and province as the landing job writes them, from addresses in mixed case."""
-    rows = raw_customer_addresses(spark, folder)
+    rows = raw_customer_addresses(spark, folder, every_customer=True)
     odd = F.col("id").cast("bigint") % 2 == 1
     city = F.when(odd, F.upper("city")).otherwise(F.concat(F.lit(" rt/rw "), F.lower("city")))
     province = F.when(odd, F.concat(F.lit("o'neil-"), F.lower("province"))).otherwise(F.lit("NULL"))
@@ -101,10 +101,13 @@ def landing_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     orders = source(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     day = F.col("o_orderdate")
     text = F.expr(
-        """CASE o_orderkey % 7 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')
-           WHEN 1 THEN date_format(o_orderdate, 'yyyy/MM/dd') WHEN 2 THEN date_format(o_orderdate, 'yyyyMMdd')
+        """CASE o_orderkey % 13 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')
+           WHEN 1 THEN date_format(o_orderdate, 'yyyy/MM/dd') WHEN 2 THEN date_format(o_orderdate, 'yyyyMMdd HHmmss')
            WHEN 3 THEN date_format(o_orderdate, 'MM/dd/yyyy HH:mm:ss') WHEN 4 THEN date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss")
-           WHEN 5 THEN date_format(o_orderdate, 'yyyy') || '-02-30' END"""
+           WHEN 5 THEN date_format(o_orderdate, 'yyyy') || '-02-30' WHEN 6 THEN date_format(o_orderdate, 'dd/MM/yyyy HH:mm')
+           WHEN 7 THEN date_format(o_orderdate, 'yyyy-MM-dd hh:mm a') WHEN 8 THEN date_format(o_orderdate, 'MMM d yyyy')
+           WHEN 9 THEN date_format(o_orderdate, 'd MMMM yyyy hh:mm:ss a') WHEN 10 THEN date_format(o_orderdate, 'MM-dd-yyyy')
+           WHEN 11 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') || '+07:00' END"""
     )
     return orders.select("o_orderkey", mixed_timestamp(text).alias("created_at"), day.cast("date").alias("day"))
 

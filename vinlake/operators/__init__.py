@@ -1,6 +1,6 @@
 """Relational building blocks that hold up when one key owns a third of the rows."""
 
-from vinlake.operators.hot_groups import Keep, as_planned, attach, in_folder, slices_used, with_slice
+from vinlake.operators.hot_groups import Keep, as_planned, attach, in_folder, per_slice, slices_used, with_slice
 from vinlake.operators.joins import left_join_splittable
 from vinlake.operators.latest import first_per_key, latest_per_key
 from vinlake.operators.repeats import flag_repeats
@@ -16,6 +16,7 @@ __all__ = [
     "in_folder",
     "latest_per_key",
     "left_join_splittable",
+    "per_slice",
     "slices_used",
     "with_slice",
 ]

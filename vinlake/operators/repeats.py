@@ -3,7 +3,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.operators.hot_groups import Keep, as_planned, attach, slices_used, with_slice
+from vinlake.operators.hot_groups import Keep, as_planned, attach, per_slice, slices_used, with_slice
 
 
 def flag_repeats(
@@ -19,15 +19,14 @@ def flag_repeats(
 
     ``repeated`` names the first flag, ``first`` the second; the first row is the least one by
     ``first_by`` (NULL is least), and that order has to be total within a key. Only keys that do
-    repeat are joined back: on clean data that side is small enough for adaptive execution to
-    broadcast it.
+    repeat are joined back: on clean data that side is small.
     """
     facts = [F.count(F.lit(1)).alias("_rows"), slices_used()]
     if first:
         facts.append(F.min(F.struct(*first_by)).alias("_first"))
     sliced = with_slice(rows, *identity)
     groups = sliced.groupBy(*keys).agg(*facts).where(F.col("_rows") > 1)
-    flagged = attach(sliced, keep("_".join(filter(None, [repeated, first])), groups), keys)
+    flagged = attach(sliced, keep("_".join(filter(None, [repeated, first])), per_slice(groups)), keys)
 
     flags: dict[str, Column] = {}
     if repeated:

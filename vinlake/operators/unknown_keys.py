@@ -3,7 +3,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.operators.hot_groups import Keep, as_planned, attach, slices_used, with_slice
+from vinlake.operators.hot_groups import Keep, as_planned, attach, per_slice, slices_used, with_slice
 
 
 def flag_unknown(
@@ -18,5 +18,5 @@ def flag_unknown(
     sliced = with_slice(rows, *identity)
     present = sliced.where(F.col(key).isNotNull()).groupBy(key).agg(slices_used())
     unknown = present.join(known.select(key).distinct(), key, "left_anti").withColumn("_unknown", F.lit(True))
-    flagged = attach(sliced, keep(flag, unknown), [key])
+    flagged = attach(sliced, keep(flag, per_slice(unknown)), [key])
     return flagged.withColumn(flag, F.col(key).isNull() | F.col("_unknown").isNotNull()).drop("_unknown")
