@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from vinlake.llm.common import short_batches
+
 # How byte-level tokenizers split a text before encoding, and the white space they mean.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = (
@@ -38,7 +40,7 @@ SPLIT = (
 )
 NEVER = 1 << 40  # later than any merge
 UNBORN = -1
-REMEMBERED = 1 << 19  # chunks, and half as many words, whose encoding a Python worker keeps
+REMEMBERED = 1 << 18  # chunks, and half as many words, whose encoding a Python worker keeps
 
 
 def byte_letters() -> dict[str, int]:
@@ -217,6 +219,8 @@ def encode(text: Column, path: str) -> Column:
     ``path`` names a byte-level vocabulary file that is installed on every executor.
     """
 
+    short_batches()
+
     @F.pandas_udf(BinaryType())
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -228,6 +232,8 @@ def encode(text: Column, path: str) -> Column:
 def decode(ids: Column, path: str) -> Column:
     """The text of token ids as ``encode`` gives them; NULL gives the empty text."""
 
+    short_batches()
+
     @F.pandas_udf(StringType())
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for many in batches:
@@ -238,6 +244,7 @@ def decode(ids: Column, path: str) -> Column:
 
 def encode_and_decode(text: Column, path: str) -> Column:
     """STRUCT of ``ids`` and the text ``decoded`` from them, in one pass through one Python worker."""
+    short_batches()
     kind = StructType([StructField("ids", BinaryType()), StructField("decoded", StringType())])
 
     @F.pandas_udf(kind)

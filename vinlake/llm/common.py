@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 _WORDS = re.compile(WORD)
+ROWS_AT_ONCE = 1_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +44,16 @@ def stored(rows: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def short_batches() -> None:
+    """Let Python take texts ``ROWS_AT_ONCE`` at a time at most: the memory of a batch grows with its texts.
+
+    It lowers the session's setting for Arrow batches and leaves a lower one alone.
+    """
+    conf, name = SparkSession.active().conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ROWS_AT_ONCE:
+        conf.set(name, str(ROWS_AT_ONCE))
+
+
 def words(text: str | None) -> list[str]:
     """The runs of characters other than ASCII white space."""
     return _WORDS.findall(text) if text else []

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.llm.common import remainder, stored, unit_hash
+from vinlake.llm.common import remainder, short_batches, stored, unit_hash
 
 ROWS = 2_000
 ROUNDS = 3
@@ -242,6 +242,7 @@ def chunks(texts: list[str | None], letters: int = 1 << 20) -> Iterator[list[str
 
 def predictor(docs: DataFrame, model: Model):
     """A function of a text column that gives STRUCT<lang_pred, score>."""
+    short_batches()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

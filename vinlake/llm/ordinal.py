@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.llm.common import remainder, stored, unit_hash, words
+from vinlake.llm.common import remainder, short_batches, stored, unit_hash, words
 
 SPACE = 1 << 18
 ROWS = 32_768
@@ -129,6 +129,7 @@ def grades(docs: DataFrame, model: Model) -> DataFrame:
     NULL and empty texts have the score of a text without features. Repeated rows get equal results. Without
     ratings every threshold is 0, so every grade is as likely to be exceeded as not. Other columns are not read.
     """
+    short_batches()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("expected_grade double, tail_probability double")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from vinlake.llm.common import stored, words
+from vinlake.llm.common import short_batches, stored, words
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 FEWEST = 50  # words of a text that does not fail
@@ -174,6 +174,7 @@ def judge(docs: DataFrame) -> DataFrame:
     language, or against all rows. Repeated rows get equal results. ``distance`` is NULL where no row passed
     the rules, and nothing is rejected by it then.
     """
+    short_batches()
     counted = docs.select("doc_id", "lang", "source", counts(F.col("text")).alias("_found"))
     failed = (F.col("n_words") < FEWEST) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     flat = counted.select("doc_id", "lang", "source", "_found.*").withColumn("base_failed", failed)

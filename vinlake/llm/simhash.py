@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from vinlake.llm.common import stored
+from vinlake.llm.common import short_batches, stored
 from vinlake.llm.components import components
 from vinlake.operators.joins import left_join_splittable
 
@@ -120,6 +120,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     read. Equal fingerprints are grouped before any pair is looked for, so thousands of copies cost
     one row, and the join that gives the copies their component can split a hot fingerprint.
     """
+    short_batches()
     prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp")), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct")
     found = stored(components(links(first.select("fp"))), "components")

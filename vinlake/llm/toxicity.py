@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinlake.llm.common import remainder, stored, unit_hash
+from vinlake.llm.common import remainder, short_batches, stored, unit_hash
 
 SPACE = 1 << 20  # hashed coordinates; the one after them is the constant
 ROWS = 32_768
@@ -28,7 +28,7 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 SEED = 9
 _WORD = re.compile(r"\w+")
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 17
 
 
 class _Hashes(dict):
@@ -64,7 +64,7 @@ def train(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, np.nd
         over = np.abs(z[at]) - L1
         return np.where(over > 0, -np.sign(z[at]) * over / ((BETA + np.sqrt(n[at])) / ALPHA + L2), 0.0)
 
-    features = [np.append(np.unique(coordinates(text)), SPACE) for text in texts]
+    features = [np.append(np.unique(coordinates(text)), SPACE).astype(np.int32) for text in texts]
     for _ in range(min(max(STEPS // max(len(texts), 1), EPOCHS[0]), EPOCHS[1])):
         for at, label in zip(features, labels, strict=True):
             w = weights(at)
@@ -104,6 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[np.ndarra
 
 def scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]):
     """A function of a text column that gives the probability of label 1."""
+    short_batches()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
