@@ -12,7 +12,7 @@ from vinlake.operators import first_per_key
 from vinlake.operators.quality import failures_of, offending
 from vinlake.plans import checks, core
 from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, stg_sales
-from vinlake.sources.jdbc import hash_predicates
+from vinlake.sources.jdbc import hash_predicates, range_predicates
 from vinlake.schemas import RAW_SALES
 from vinlake.sources.tables import read_raw, replace_partitions
 
@@ -267,6 +267,8 @@ def test_one_sale_counts_per_group(spark, drawn):
 
 
 def test_hash_predicates_split_a_table():
+    assert range_predicates("id", [5, 1, 9]) == ["id < 5 OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]
+    assert range_predicates("id", []) == range_predicates("id", [3]) == ["1 = 1"]
     assert hash_predicates("vin", 2) == ["MOD(CRC32(vin), 2) = 0 OR vin IS NULL", "MOD(CRC32(vin), 2) = 1"]
 
 

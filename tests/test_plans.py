@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vinlake.contract.queries import QUERIES, models
 from vinlake.operators import as_planned, flag_unknown, in_folder
+from vinlake.operators.quality import failures_of
+from vinlake.plans import checks
 from vinlake.sources.tables import as_monthly_table, by_month, days_between, schema_for
 
 FOLDER = "/root/testdata/sf0.001"
@@ -112,5 +114,29 @@ def test_facts_are_broadcast_only_by_the_size_they_are_joined_with(spark, tmp_pa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_checks_plan_only_what_they_read(spark):
+    """One scan of a raw table per grouping of its keys, no flag is planned and nothing is joined for it."""
+    scans = lambda rows, column: len(re.findall(rf"FileScan parquet \[[^]]*{column}", plan_of(rows)))
+    tables = models(spark, FOLDER)
+    for table, column, scanned in (("stg_sales", "vin", "o_orderkey"), ("stg_after_sales", "service_ticket", "l_orderkey")):
+        check = [c for c in checks.declared("unique") if c.table == table and c.column == column]
+        rows = failures_of(check, tables)
+        assert scans(rows, scanned) == 1 and ("Join" not in plan_of(rows) or table == "stg_after_sales")
+    assert scans(QUERIES["q_dq_unique"](spark, FOLDER), "o_orderkey") <= 8
+    assert scans(QUERIES["q_dq_flag_rates"](spark, FOLDER), "o_orderkey") <= 3
+    assert scans(QUERIES["q_dq_serving_inner"](spark, FOLDER), "l_orderkey") == 1
+
+
+def test_narrow_models_have_the_rows_of_the_whole_ones(spark):
+    tables = models(spark, "/root/testdata/sf0.01")
+    for name, columns in (("stg_sales", ["vin", "price"]), ("fact_sales", ["vin", "customer_id", "price"]), ("dim_vehicle", ["model", "avg_price"])):
+        narrow, whole = tables.columns(name, *columns), tables[name].select(*columns)
+        assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+    pairs = checks.served_with_invalid_tickets(tables["mart_aftersales_priority"], tables["fact_after_sales"])
+    assert pairs.exceptAll(checks.planned_serving_pairs(tables)).isEmpty()
+    tables["fact_sales"] = tables["fact_sales"].limit(3)
+    assert tables.columns("fact_sales", "vin").count() == 3
+
+
 def test_schema_of_a_layer():
     assert schema_for(None, "warehouse") == "warehouse" and schema_for(" marts ", "warehouse") == "marts"

@@ -74,8 +74,7 @@ def missing_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def served_with_invalid(spark: SparkSession, folder: str) -> DataFrame:
-    tables = models(spark, folder)
-    return checks.served_with_invalid_tickets(tables["mart_aftersales_priority"], tables["fact_after_sales"])
+    return checks.planned_serving_pairs(models(spark, folder))
 
 
 def report_rows_with_invalid(spark: SparkSession, folder: str) -> DataFrame:

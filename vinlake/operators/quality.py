@@ -51,18 +51,24 @@ def missing_parents(rows: DataFrame, column: str, parents: DataFrame, parent_col
     return keys.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 
+def columns_of(tables: Mapping[str, DataFrame], name: str, *wanted: str) -> DataFrame:
+    """Some columns of a table; tables that can be planned for less are."""
+    of = getattr(tables, "columns", None)
+    return of(name, *wanted) if of else tables[name].select(*wanted)
+
+
 def offending(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The offending rows, keys or values of one check."""
-    rows = tables[check.table]
+    if check.kind == "not_null":
+        return missing(tables[check.table], check.column)
+    rows = columns_of(tables, check.table, check.column)
     if check.kind == "unique":
         return repeated_keys(rows, check.column)
-    if check.kind == "not_null":
-        return missing(rows, check.column)
     if check.kind == "accepted_values":
         return unexpected_values(rows, check.column, check.values)
     if check.kind == "relationships":
         table, column = check.parent
-        return missing_parents(rows, check.column, tables[table], column)
+        return missing_parents(rows, check.column, columns_of(tables, table, column), column)
     raise ValueError(f"unknown kind of check: {check.kind}")
 
 
@@ -107,8 +113,8 @@ def failures_of(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Dat
         joined = [check for check in own if check.kind == "relationships"]
         shared = [check for check in own if check.kind == "not_null"] + in_groups[:1]
         if shared:
-            parts.append(_together(tables[table], shared))
-        parts += [_together(tables[table], [check]) for check in in_groups[1:]]
+            parts.append(_together(columns_of(tables, table, *{check.column for check in shared}), shared))
+        parts += [_together(columns_of(tables, table, check.column), [check]) for check in in_groups[1:]]
         parts += [as_failures(check.name, offending(check, tables), F.col("n_rows")) for check in joined]
     return union_all(parts)
 
@@ -116,6 +122,11 @@ def failures_of(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Dat
 def flag_shares(rows: DataFrame, table: str, flags: Sequence[str]) -> DataFrame:
     """Share of rows that carry each flag, all flags in one scan."""
     counts = rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(flag)).alias(flag) for flag in flags])
+    return shares(counts, table, flags)
+
+
+def shares(counts: DataFrame, table: str, flags: Sequence[str]) -> DataFrame:
+    """The same from one row with ``n_rows`` and the number of flagged rows under each flag's name."""
     pairs = [F.struct(F.lit(flag).alias("flag"), F.col(flag).alias("flagged")) for flag in flags]
     return counts.select(F.lit(table).alias("table_name"), "n_rows", F.inline(F.array(*pairs))).withColumn(
         "share", F.when(F.col("n_rows") > 0, F.col("flagged").cast("double") / F.col("n_rows"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from vinlake.fixed_values import CUSTOMER_TYPES, PRICE_CLASSES, PRIORITIES
 from vinlake.operators import left_join_splittable
-from vinlake.operators.quality import Check, as_failures, failures_of, flag_shares, union_all
+from vinlake.operators.quality import Check, as_failures, columns_of, failures_of, flag_shares, shares, union_all
+from vinlake.plans.staging import cleaned_sales, repeat_keys
 
 
 def _key(layer: str, table: str, column: str) -> list[Check]:
@@ -84,11 +85,37 @@ def report_rows_with_invalid_tickets(mart: DataFrame, service_facts: DataFrame)
     return left_join_splittable(mart, _invalid_vins(service_facts).select("vin"), "vin", "left_semi")
 
 
+def served_vehicles(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Vehicles of the planned report that also have invalid tickets: ``vin, n_served, n_invalid``.
+
+    A vehicle in the report is a known one, so its invalid tickets are those dated ahead. Both numbers come from one
+    grouping of the tickets by report row; buyers, of whom each has one row, change neither.
+    """
+    tickets = tables.columns("stg_after_sales", "vin", "customer_id", "service_date", "is_future_date")
+    served = F.count_if(~F.col("is_future_date")).alias("n_valid")
+    groups = tickets.groupBy("vin", "customer_id", F.year("service_date")).agg(served, F.count_if("is_future_date").alias("n_future"))
+    vehicles = groups.groupBy("vin").agg(F.count_if(F.col("n_valid") > 0).alias("n_served"), F.sum("n_future").alias("n_invalid"))
+    known = tables["raw_sales"].select(F.col("vin").alias("_vin")).distinct()
+    both = vehicles.where("n_served > 0 AND n_invalid > 0")
+    return both.join(known, F.col("vin") == F.col("_vin"), "left_semi")
+
+
+def planned_serving_pairs(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``served_with_invalid_tickets`` of the planned report, without planning the report."""
+    return served_vehicles(tables).select("vin", (F.col("n_served") * F.col("n_invalid")).alias("n_rows"))
+
+
 def assertion(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One of the hand-written checks as ``check_name`` and ``failures``."""
-    mart, facts = tables["mart_aftersales_priority"], tables["fact_after_sales"]
     if name == REVENUE:
-        return as_failures(name, negative_revenue(tables["fact_sales"]))
+        return as_failures(name, negative_revenue(columns_of(tables, "fact_sales", "vin", "price")))
+    planned = getattr(tables, "is_planned", lambda *_: False)
+    if planned("stg_after_sales", "fact_after_sales", "mart_aftersales_priority", "dim_customer"):
+        if name == SERVING_INNER:
+            return as_failures(name, planned_serving_pairs(tables), F.col("n_rows"))
+        if name == SERVING_EXISTS:
+            return as_failures(name, served_vehicles(tables), F.col("n_served"))
+    mart, facts = tables["mart_aftersales_priority"], tables["fact_after_sales"]
     if name == SERVING_INNER:
         return as_failures(name, served_with_invalid_tickets(mart, facts), F.col("n_rows"))
     if name == SERVING_EXISTS:
@@ -104,6 +131,34 @@ def layer_failures(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(found)
 
 
+def _repeat_counts(sales: DataFrame) -> DataFrame:
+    """Sales and suspected repeats among them, from the sizes of groups: no row has to be flagged."""
+    groups = sales.groupBy(*repeat_keys(sales)).agg(F.count(F.lit(1)).alias("n"))
+    total, repeats = F.sum("n"), F.sum(F.when(F.col("n") > 1, F.col("n")))
+    return groups.agg(*[F.coalesce(x, F.lit(0)).alias(name) for x, name in ((total, "n_rows"), (repeats, "is_duplicate_suspect"))])
+
+
+def _ticket_counts(tickets: DataFrame, raw_sales: DataFrame) -> DataFrame:
+    """Tickets, those of vehicles never sold and those dated ahead, from one row per vehicle."""
+    groups = tickets.groupBy("vin").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_future_date").alias("n_future"))
+    known = raw_sales.select(F.col("vin").alias("_vin")).distinct()
+    marked = groups.join(known, F.col("vin") == F.col("_vin"), "left")
+    unknown = F.sum(F.when(F.col("_vin").isNull(), F.col("n")))
+    sums = {"n_rows": F.sum("n"), "is_vin_not_in_sales": unknown, "is_future_date": F.sum("n_future")}
+    return marked.agg(*[F.coalesce(x, F.lit(0)).alias(name) for name, x in sums.items()])
+
+
 def all_flag_shares(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Share of flagged rows for every flag of the staging layer."""
-    return union_all(flag_shares(tables[table], table, flags) for table, flags in FLAGS.items())
+    """Share of flagged rows for every flag of the staging layer.
+
+    Where staging is a plan, the shares come from group sizes and key counts; stored tables are counted as they are.
+    """
+    if not getattr(tables, "is_planned", lambda *_: False)(*FLAGS):
+        return union_all(flag_shares(tables[table], table, flags) for table, flags in FLAGS.items())
+    tickets = tables.columns("stg_after_sales", "vin", "is_future_date")
+    counted = {
+        "stg_sales": _repeat_counts(cleaned_sales(tables["raw_sales"])),
+        "stg_after_sales": _ticket_counts(tickets, tables["raw_sales"]),
+    }
+    found = [shares(counts, table, FLAGS[table]) for table, counts in counted.items()]
+    return union_all([flag_shares(tables["stg_customers"], "stg_customers", FLAGS["stg_customers"]), *found])

@@ -27,11 +27,14 @@ def int_customer_enriched(customers: DataFrame, addresses: DataFrame) -> DataFra
     )
 
 
+def classed(sales: DataFrame) -> DataFrame:
+    """Sales with price class and period."""
+    return sales.withColumns({"price_class": price_class(F.col("price")), "periode": calendar_month(F.col("invoice_date"))})
+
+
 def _described(sales: DataFrame, customers: DataFrame) -> DataFrame:
     buyers = customers.select("customer_id", "customer_name", "customer_type")
-    return sales.join(buyers, "customer_id", "left").withColumns(
-        {"price_class": price_class(F.col("price")), "periode": calendar_month(F.col("invoice_date"))}
-    )
+    return classed(sales.join(buyers, "customer_id", "left"))
 
 
 def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame, keep: Keep = as_planned) -> DataFrame:
@@ -68,6 +71,11 @@ def int_sales_enriched(raw_sales: DataFrame, customers: DataFrame, keep: Keep =
 
 def canonical_sales(raw_sales: DataFrame, customers: DataFrame) -> DataFrame:
     """The rows of ``int_sales_enriched`` that are canonical, by one aggregate and no join back."""
+    return _described(first_sales(raw_sales), customers)
+
+
+def first_sales(raw_sales: DataFrame) -> DataFrame:
+    """The same without what is known about the buyers."""
     cleaned = cleaned_sales(raw_sales)
     same_day, same_raw = list(SALE_KEYS), repeat_keys(cleaned)
     dated = cleaned.where(F.col("invoice_date").isNotNull())
@@ -75,5 +83,4 @@ def canonical_sales(raw_sales: DataFrame, customers: DataFrame) -> DataFrame:
     first = first_per_key(dated, list(dict.fromkeys([*same_day, *same_raw])), order, rows_as="_rows")
     if same_raw != same_day:
         first = first_per_key(first, same_day, order, rows_as="_raw_dates")
-    flagged = first.withColumn("is_duplicate_suspect", F.col("_rows") > 1)
-    return _described(flagged, customers)
+    return first.withColumn("is_duplicate_suspect", F.col("_rows") > 1)

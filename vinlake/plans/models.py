@@ -30,6 +30,19 @@ class Models(Mapping[str, DataFrame]):
             return lambda name, facts: keep(f"{model}/{name}", facts)
 
         self._made: dict[str, DataFrame] = {}
+        self._replaced: set[str] = set()
+        # The same rows with fewer columns, for readers that need no flag and nothing about buyers.
+        self._narrow: dict[str, Callable[[], DataFrame]] = {
+            "stg_sales": lambda: staging.cleaned_sales(self["raw_sales"]),
+            "stg_after_sales": lambda: staging.dated_tickets(self["raw_after_sales"], as_of),
+            "int_sales_enriched": lambda: intermediate.classed(
+                staging.cleaned_sales(self["raw_sales"]).where("invoice_date IS NOT NULL")
+            ),
+            "fact_sales": lambda: intermediate.classed(intermediate.first_sales(self["raw_sales"])),
+            "fact_after_sales": lambda: self._narrow["stg_after_sales"](),
+            "dim_vehicle": lambda: core.dim_vehicle(self._narrow["fact_sales"]()),
+            "mart_sales_summary": lambda: serving.mart_sales_summary(self._narrow["fact_sales"]()),
+        }
         self._makers: dict[str, Callable[[], DataFrame]] = {
             **raw,
             "stg_customers": lambda: staging.stg_customers(self["raw_customers"]),
@@ -63,6 +76,20 @@ class Models(Mapping[str, DataFrame]):
 
     def __setitem__(self, name: str, rows: DataFrame) -> None:
         self._made[name] = rows
+        self._replaced.add(name)
+
+    def is_planned(self, *names: str) -> bool:
+        """Whether models are plans over the raw tables, none of them replaced by a table."""
+        return not self._replaced & {*names}
+
+    def columns(self, name: str, *wanted: str) -> DataFrame:
+        """Some columns of a model, planned without what they do not need."""
+        needs = {name, "stg_customers", "stg_sales", "stg_after_sales", "fact_sales"}
+        if name in self._narrow and self.is_planned(*needs):
+            narrow = self._narrow[name]()
+            if {*wanted} <= {*narrow.columns}:
+                return narrow.select(*wanted)
+        return self[name].select(*wanted)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)

@@ -78,7 +78,6 @@ def stg_after_sales(
 
     ``as_of`` is today unless given; a result that has to be repeatable needs it given.
     """
-    today = F.current_date() if as_of is None else as_of
     tickets = raw_after_sales.where(F.col("service_ticket").isNotNull())
     told_by = identity(tickets, "service_ticket")
     flagged = flag_unknown(tickets, "vin", raw_sales, told_by, "is_vin_not_in_sales", keep)
@@ -91,7 +90,27 @@ def stg_after_sales(
         service_date.alias("service_date"),
         "service_type",
         "is_vin_not_in_sales",
-        F.coalesce(service_date > today, F.lit(False)).alias("is_future_date"),
+        is_future(as_of).alias("is_future_date"),
+        "created_at",
+    )
+
+
+def is_future(as_of: Column | None) -> Column:
+    """Whether a ticket's raw date lies after a day, today unless given."""
+    today = F.current_date() if as_of is None else as_of
+    return F.coalesce(F.col("service_date").cast("date") > today, F.lit(False))
+
+
+def dated_tickets(raw_after_sales: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The columns of staged tickets that need no look at the sales."""
+    return raw_after_sales.where(F.col("service_ticket").isNotNull()).select(
+        "service_ticket",
+        "vin",
+        "customer_id",
+        "model",
+        F.col("service_date").cast("date").alias("service_date"),
+        "service_type",
+        is_future(as_of).alias("is_future_date"),
         "created_at",
     )
 

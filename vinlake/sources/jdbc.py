@@ -30,12 +30,25 @@ def read_table_by_text_key(
 def read_table_by_number_key(
     spark: SparkSession, url: str, table: str, key: str, parts: int = 64, properties: dict[str, str] | None = None
 ) -> DataFrame:
-    """A table with an indexed number key, in ranges of equal width between its ends."""
+    """A table with an indexed number key, in ranges that hold about as many rows each.
+
+    The database measures the bounds, so dense runs of numbers and gaps between them do not end up in one range.
+    """
     options = {**OPTIONS, **(properties or {})}
-    ends = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) AS ends"
-    low, high = spark.read.jdbc(url, ends, properties=options).first()
-    if low is None:
-        return spark.read.jdbc(url, table, properties=options)
-    return spark.read.jdbc(
-        url, table, column=key, lowerBound=int(low), upperBound=int(high) + 1, numPartitions=parts, properties=options
-    )
+    bounds = [row.low for row in spark.read.jdbc(url, measured_bounds(table, key, parts), properties=options).orderBy("low").collect()]
+    return spark.read.jdbc(url, table, predicates=range_predicates(key, bounds), properties=options)
+
+
+def measured_bounds(table: str, key: str, parts: int) -> str:
+    """A query for the least key of each of so many equally large parts of a table: at most ``parts`` rows."""
+    tiles = f"SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key}) AS tile FROM {table} WHERE {key} IS NOT NULL"
+    return f"(SELECT MIN(k) AS low FROM ({tiles}) AS tiles GROUP BY tile) AS bounds"
+
+
+def range_predicates(key: str, bounds: list[int]) -> list[str]:
+    """Conditions that cut a table at the given keys; the first part has what lies below, and NULL."""
+    cuts = sorted(set(bounds))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(cuts, cuts[1:], strict=False)]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *between, f"{key} >= {cuts[-1]}"]
