@@ -52,7 +52,7 @@ def test_mined_rules_against_every_combination(spark):
     for size in (1, 2, 3, 4):
         for rule in combinations(names, size):
             hits = [bad for t, bad in baskets if t.issuperset(rule)]
-            if sum(hits) >= max(1, urls.SUPPORT * len(baskets)) and sum(hits) / len(hits) >= max(urls.CONFIDENCE, urls.LIFT * share):
+            if sum(hits) >= max(urls.LEAST, urls.SUPPORT * len(baskets)) and sum(hits) / len(hits) >= max(urls.CONFIDENCE, urls.LIFT * share):
                 kept.add(rule)
     least = {r for r in kept if not any(r[:i] + r[i + 1 :] in kept for i in range(len(r)))}
     assert found == least and ("path:bets", "path:free") in found

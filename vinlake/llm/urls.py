@@ -23,6 +23,7 @@ from vinlake.operators.joins import left_join_splittable
 
 BAD = "label=bad"
 SUPPORT = 0.002  # of the labelled pages
+LEAST = 10  # bad pages that a rule has to have at least, so that few labels do not make rules of chance
 CONFIDENCE = 0.8
 LIFT = 2.0
 RULES = 10_000  # most rules kept, the surest first: the bound of what may be broadcast
@@ -100,8 +101,11 @@ def mine(pages: DataFrame, labels: DataFrame) -> DataFrame:
     known = pages.join(marks, F.col("page_id") == F.col("_id")).filter(F.size("tokens") > 0)
     items = F.when(F.col("_quality") == 0, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens"))
     baskets = stored(known.select(items.alias("items")), "baskets")
-    found = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(baskets)
-    rules = found.associationRules.filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= LIFT))
+    n = max(baskets.count(), 1)
+    support = min(max(SUPPORT, LEAST / n), 1.0)
+    found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(baskets)
+    enough = (F.col("lift") >= LIFT) & (F.round(F.col("support") * n) >= LEAST)
+    rules = found.associationRules.filter((F.col("consequent") == F.array(F.lit(BAD))) & enough)
     rules = rules.select(F.array_sort("antecedent").alias("rule"), "confidence", "support")
     order = [F.desc("confidence"), F.desc("support"), F.size("rule"), "rule"]
     rules = stored(rules.orderBy(*order).limit(RULES), "rules")
