@@ -228,11 +228,11 @@ def test_stream_takes_files_dated_long_ago_and_logs_empty_ones(spark, drop, tmp_
 
 @pytest.mark.parametrize("lines", [1, 2])
 def test_a_quote_inside_a_field_is_text(spark, drop, monkeypatch, lines):
-    rows = [f'{n},1,Pipa 5" Jaya {n}' for n in range(lines)]
+    rows = [f'{n},1,Pipa 5" Baru {n}' for n in range(lines)]
     path = _put(drop, "customer_addresses_20250301.csv", "id,customer_id,address\n" + "\n".join(rows) + "\n")
     assert not landing.inspect(spark, [path])[0].multi_line
     drop.run(spark)
-    assert [row[2] for row in drop.rows(spark)] == [f'Pipa 5" Jaya {n}' for n in range(lines)]
+    assert [row[2] for row in drop.rows(spark)] == [f'Pipa 5" Baru {n}' for n in range(lines)]
 
 
 def test_a_file_with_ids_that_are_no_whole_numbers_fails_whole(spark, drop):
