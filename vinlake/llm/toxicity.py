@@ -24,7 +24,8 @@ SPACE = 1 << 20  # hashed coordinates; the one after them is the constant
 ROWS = 32_768
 SHARD = 8_192
 STEPS, EPOCHS = 32_000, (4, 16)  # passes over a shard: as many as make so many steps, within these limits
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
+# L1 is per pass: a document moves a coordinate by one a pass at most, so a feature of one document stays at zero.
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 1.25, 0.1
 THRESHOLD = 0.3
 SEED = 9
 _WORD = re.compile(r"\w+")
@@ -59,13 +60,14 @@ def coordinates(text: str | None) -> np.ndarray:
 def train(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Places and values of the weights that are not zero; the last place is the constant's."""
     z, n = np.zeros(SPACE + 1), np.zeros(SPACE + 1)
+    passes = min(max(STEPS // max(len(texts), 1), EPOCHS[0]), EPOCHS[1])
 
     def weights(at: np.ndarray | slice) -> np.ndarray:
-        over = np.abs(z[at]) - L1
+        over = np.abs(z[at]) - L1 * passes
         return np.where(over > 0, -np.sign(z[at]) * over / ((BETA + np.sqrt(n[at])) / ALPHA + L2), 0.0)
 
     features = [np.append(np.unique(coordinates(text)), SPACE).astype(np.int32) for text in texts]
-    for _ in range(min(max(STEPS // max(len(texts), 1), EPOCHS[0]), EPOCHS[1])):
+    for _ in range(passes):
         for at, label in zip(features, labels, strict=True):
             w = weights(at)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
