@@ -35,6 +35,7 @@ def test_training_leaves_out_held_out_rows(spark, folder):
 def test_sample_is_bounded(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     assert 0 < toxicity.sample(docs, labels, 10).count() <= 10
+    assert toxicity.sample(docs.unionAll(docs).unionAll(docs), labels, 10).count() <= 10
 
 
 def test_null_empty_long_repeated_and_clashing(spark):

@@ -104,8 +104,10 @@ def fit(docs: DataFrame, ratings: DataFrame, top: int = 2, rows: int = ROWS) ->
     drawn = stored(known.orderBy(unit_hash(F.lit(SEED), "doc_id"), "doc_id").limit(rows), "drawn")
     shards = max(1, -(-drawn.count() // SHARD))
     drawn = drawn.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    # The sample is bounded by ``rows``, so it may be broadcast and no text is shuffled but its own.
-    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # The sample is bounded by ``rows``, so it may be broadcast and no text is shuffled but its own. Of rows that
+    # repeat an id one text is learned, so that repeats don't undo the bound.
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    texts = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("grade").alias("grade"), F.max("shard").alias("shard"))
 
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "text"])

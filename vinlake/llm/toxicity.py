@@ -86,8 +86,10 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     drawn = stored(known.orderBy(chance, "doc_id").limit(rows), "drawn")
     shards = max(1, -(-drawn.count() // SHARD))
     drawn = drawn.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    # The sample is bounded by ``rows``, so it may be broadcast and no text is shuffled but its own.
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # The sample is bounded by ``rows``, so it may be broadcast and no text is shuffled but its own. Of rows that
+    # repeat an id one text is learned, so that repeats don't undo the bound.
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.max("shard").alias("shard"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
