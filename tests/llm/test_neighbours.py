@@ -64,3 +64,15 @@ def test_copies_nulls_and_vectors_without_direction(spark):
         assert found[linked] == (4, 8)
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
     assert neighbours.near_duplicates(frame.limit(2)).count() == 2
+
+
+def test_dense_groups_that_touch(spark):
+    chance, rows = np.random.default_rng(4), []
+    for far in (0.0, 0.27, 1.5):  # the first two are linked across, at about 0.96
+        centre = np.zeros(16)
+        centre[:2] = np.cos(far), np.sin(far)
+        rows += [(len(rows) + place, (centre + chance.standard_normal(16) * 0.012).tolist()) for place in range(40)]
+    expected = plain(rows)
+    assert {root for _, root in expected.values()} == {0, 80} and expected[0][0] > 60
+    out = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == expected

@@ -10,7 +10,9 @@
    hyperplanes and more rounds, up to ``ATTEMPTS``.
 5. Links are the entries at or above the threshold, verified in double precision. A list whose last entry is
    still a link is saturated: it may have more. Its neighbour list is enlarged to its whole component,
-   which is compared in blocks, all with all, giving counts instead of pairs.
+   which is compared in blocks, all with all, giving counts instead of pairs. So that components are whole
+   where lists are full, the links among the nodes of each meeting are also kept as a spanning forest,
+   beside the lists: whoever met and is linked ends in one component.
 
 Lists of neighbours meet in chunks of at most about ``CHUNK``, so no hub or hot pattern is gathered in a task.
 """
@@ -60,10 +62,30 @@ def _matrix(vectors: list[bytes], kind: str = "<f8") -> np.ndarray:
     return np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vectors), -1)
 
 
+def _forest(links: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges (child, parent) of a spanning forest of the links."""
+    children, parents = [], []
+    new = links.any(axis=1)
+    while new.any():
+        waiting = [int(new.argmax())]
+        new[waiting[0]] = False
+        while waiting:
+            parent = waiting.pop()
+            found = np.flatnonzero(links[parent] & new).tolist()
+            new[found] = False
+            waiting += found
+            children += found
+            parents += [parent] * len(found)
+    return children, parents
+
+
 def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each row of ``ids`` and ``vectors`` the K nearest of every member among the others."""
+    """For each row of ``ids`` and ``vectors`` the K nearest of every member among the others.
+
+    Also, as ``tree``, a spanning forest of the sure links among the members, and all links in doubt.
+    """
     for batch in batches:
-        nodes, others, sims = [], [], []
+        nodes, others, sims, trees = [], [], [], []
         for ids, vectors in zip(batch["ids"], batch["vectors"], strict=True):
             if len(ids) < 2:
                 continue
@@ -75,22 +97,34 @@ def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             nodes.append(np.repeat(ids, kept))
             others.append(ids[best].ravel())
             sims.append(np.take_along_axis(cosine, best, axis=1).ravel())
+            trees.append(np.zeros(len(nodes[-1]), dtype=bool))
+            if cosine.max() >= LINK - DOUBT:
+                children, parents = _forest(cosine >= LINK + DOUBT)
+                unsure = np.nonzero(np.triu(np.abs(cosine - LINK) <= DOUBT, 1))
+                ends = np.concatenate((children, unsure[0])).astype(int), np.concatenate((parents, unsure[1])).astype(int)
+                nodes.append(ids[ends[0]])
+                others.append(ids[ends[1]])
+                sims.append(cosine[ends])
+                trees.append(np.ones(len(ends[0]), dtype=bool))
         if nodes:
-            out = pd.DataFrame({"node": np.concatenate(nodes), "other": np.concatenate(others), "sim": np.concatenate(sims)})
-            yield out.drop_duplicates(["node", "other"])
+            found = {"node": nodes, "other": others, "sim": sims, "tree": trees}
+            out = pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
+            yield out.drop_duplicates(["node", "other", "tree"])
 
 
 def _meet(members: DataFrame, *keys: str) -> DataFrame:
     """Candidates among the members (``id``, ``single``) that share the keys."""
     groups = members.groupBy(*keys).agg(F.collect_list("id").alias("ids"), F.collect_list("single").alias("vectors"))
-    return groups.select("ids", "vectors").mapInPandas(_nearest, "node long, other long, sim float")
+    return groups.select("ids", "vectors").mapInPandas(_nearest, "node long, other long, sim float, tree boolean")
 
 
 def _closest(candidates: DataFrame) -> DataFrame:
-    """The K nearest of every node, as rows."""
-    pairs = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "other")), asc=False), 1, K)
-    return pairs.groupBy("node").agg(best.alias("best")).select("node", F.inline("best")).select("node", "other", "sim")
+    """The K nearest of every node, as rows that are ``listed``, and the rows of trees."""
+    pairs = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.max("tree").alias("tree"))
+    best = F.sort_array(F.collect_list(F.struct("sim", "other", "tree")), asc=False)
+    ranked = pairs.groupBy("node").agg(best.alias("best")).select("node", F.posexplode("best").alias("rank", "best"))
+    ranked = ranked.select("node", "best.*", (F.col("rank") < K).alias("listed"))
+    return ranked.filter("listed or tree").select("node", "other", "sim", "tree", "listed")
 
 
 def _patterns(nodes: DataFrame, width: int, total: int, seed: int) -> DataFrame:
@@ -120,15 +154,16 @@ def _patterns(nodes: DataFrame, width: int, total: int, seed: int) -> DataFrame:
 
 def _descend(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
     """One round: neighbours in both directions meet at every node, in chunks dealt by chance."""
-    ends = graph.select(F.col("node").alias("at"), F.col("other").alias("id"))
-    back = graph.select(F.col("other").alias("at"), F.col("node").alias("id"))
-    own = graph.select(F.col("node").alias("at"), F.col("node").alias("id"))
+    lists = graph.filter("listed")
+    ends = lists.select(F.col("node").alias("at"), F.col("other").alias("id"))
+    back = lists.select(F.col("other").alias("at"), F.col("node").alias("id"))
+    own = lists.select(F.col("node").alias("at"), F.col("node").alias("id"))
     ends = ends.unionAll(back).unionAll(own).distinct()
     sizes = ends.groupBy("at").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")).filter("chunks > 1")
     chunked = left_join_splittable(ends, sizes, "at")
     chunk = F.pmod(F.xxhash64("id", "at", F.lit(seed)), F.coalesce("chunks", F.lit(1))).alias("chunk")
     members = left_join_splittable(chunked.select("at", "id", chunk), nodes.select("id", "single"), "id", "inner")
-    return _closest(graph.unionAll(_meet(members, "at", "chunk")))
+    return _closest(graph.drop("listed").unionAll(_meet(members, "at", "chunk")))
 
 
 def _verified(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -184,7 +219,7 @@ def _count(graph: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``id, n`` of all nodes that have links to others, and ``node, root`` of their components."""
     links = stored(_verified(graph, nodes), "links")
     roots = stored(components(links), "roots")
-    last = graph.groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("last"))
+    last = graph.filter("listed").groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("last"))
     saturated = last.filter((F.col("n") >= K) & (F.col("last") >= LINK - DOUBT)).select("node")
     dense = stored(roots.join(saturated, "node").select("root").distinct(), "dense")
     marked = left_join_splittable(roots, dense.withColumn("is_dense", F.lit(True)), "root")
@@ -241,7 +276,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     graph = None
     for attempt in range(ATTEMPTS):
         found = _patterns(nodes, width, total, SEED + attempt)
-        graph = stored(_closest(found if graph is None else graph.unionAll(found)), "graph")
+        graph = stored(_closest(found if graph is None else graph.drop("listed").unionAll(found)), "graph")
         for number in range(ROUNDS):
             graph = stored(_descend(graph, nodes, SEED + number), "graph")
         counts, roots = _count(graph, nodes)
