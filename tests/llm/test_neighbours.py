@@ -76,3 +76,29 @@ def test_dense_groups_that_touch(spark):
     assert {root for _, root in expected.values()} == {0, 80} and expected[0][0] > 60
     out = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in out} == expected
+
+
+def test_audit_is_not_hidden_by_a_dense_group(spark):
+    rows = [(i, unit.tolist()) for i, unit in enumerate(np.random.default_rng(8).standard_normal((80, 64)))]
+    rows = [(i * 2 + k, [x + k * 0.01 for x in v]) for i, v in rows for k in (0, 1)]  # pairs, none of them found
+    rows += [(i + 1000, [1.0] * 63 + [1 + i / 1000]) for i in range(300)]
+    units = [(i, (np.array(v) / np.linalg.norm(v)).astype("<f8").tobytes(), 1) for i, v in rows]
+    nodes = spark.createDataFrame(units, "id long, unit binary, copies long")
+    counts = spark.createDataFrame([(i + 1000, 299) for i in range(300)], "id long, n long")
+    assert neighbours.audit(counts, nodes) == 0.0
+    assert neighbours._tables(19) > 30 and neighbours._tables(2) == neighbours.TABLES
+
+
+@pytest.mark.parametrize("attempts", [0, 3])
+def test_pairs_in_a_hot_topic(spark, monkeypatch, attempts):
+    monkeypatch.setattr(neighbours, "ATTEMPTS", attempts)  # without any, all are compared with all
+    chance, rows = np.random.default_rng(9), []
+    topic = chance.standard_normal(64)
+    for _ in range(1500):
+        one = topic + chance.standard_normal(64) * 0.5
+        rows += [(len(rows) + k, (one + k * chance.standard_normal(64) * 0.3).tolist()) for k in (0, 1)]
+    expected = plain(rows)
+    out = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    linked = [i for i, (n, _) in expected.items() if n]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in out}
+    assert len(linked) > 1000 and sum(found[i] == expected[i] for i in linked) >= (0.95 if attempts else 1.0) * len(linked)

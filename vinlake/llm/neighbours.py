@@ -3,11 +3,14 @@
 1. Equal vectors become one node with a multiplicity. Vectors that are NULL, zero or hold NULL or
    non-finite components are no nodes.
 2. A first graph: nodes that share a sign pattern under random hyperplanes are compared, and each keeps
-   its ``K`` nearest.
+   its ``K`` nearest. There are so many tables of patterns that a pair at the threshold shares one with
+   chance ``MEET``, however long the patterns are.
 3. Rounds of NN-descent: the neighbours of a node, in both directions, are compared with each other (a
-   neighbour of a neighbour is likely a neighbour), and each keeps its K nearest of all met so far.
-4. An audit compares ``QUERIES`` nodes with all rows, in blocks. Below the wanted recall there are more
-   hyperplanes and more rounds, up to ``ATTEMPTS``.
+   neighbour of a neighbour is likely a neighbour), and each keeps its K nearest of all met so far. The rounds
+   end when at most ``CHANGED`` of the lists' entries are new; only nodes with new neighbours hold meetings.
+4. An audit compares ``QUERIES`` nodes with all rows, in blocks, and takes the mean recall per node, apart for
+   nodes with few and with many links. Below the wanted recall there are twice as many tables, up to ``ATTEMPTS``;
+   if that does not do, all nodes are compared with all, as in 5.
 5. Links are the entries at or above the threshold, verified in double precision. A list whose last entry is
    still a link is saturated: it may have more. Its neighbour list is enlarged to its whole component,
    which is compared in blocks, all with all, giving counts instead of pairs. So that components are whole
@@ -31,11 +34,12 @@ from vinlake.operators.joins import left_join_splittable
 
 LINK = 0.95
 K = 8
-TABLES = 12
+TABLES = 12  # at least
+MEET = 0.99
 PER_PATTERN = 16  # nodes that a sign pattern has in the mean
 CHUNK = 64
 BLOCK = 512
-ROUNDS = 2
+CHANGED = 0.01
 QUERIES = 1024
 RECALL = 0.97
 ATTEMPTS = 3
@@ -115,29 +119,42 @@ def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _meet(members: DataFrame, *keys: str) -> DataFrame:
     """Candidates among the members (``id``, ``single``) that share the keys."""
     groups = members.groupBy(*keys).agg(F.collect_list("id").alias("ids"), F.collect_list("single").alias("vectors"))
-    return groups.select("ids", "vectors").mapInPandas(_nearest, "node long, other long, sim float, tree boolean")
+    met = groups.select("ids", "vectors").mapInPandas(_nearest, "node long, other long, sim float, tree boolean")
+    return met.withColumn("fresh", F.lit(True))
 
 
 def _closest(candidates: DataFrame) -> DataFrame:
-    """The K nearest of every node, as rows that are ``listed``, and the rows of trees."""
-    pairs = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.max("tree").alias("tree"))
-    best = F.sort_array(F.collect_list(F.struct("sim", "other", "tree")), asc=False)
+    """The K nearest of every node, as rows that are ``listed``, and the rows of trees; ``fresh`` if only met now."""
+    flags = [F.max("tree").alias("tree"), F.min("fresh").alias("fresh")]
+    pairs = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"), *flags)
+    best = F.sort_array(F.collect_list(F.struct("sim", "other", "tree", "fresh")), asc=False)
     ranked = pairs.groupBy("node").agg(best.alias("best")).select("node", F.posexplode("best").alias("rank", "best"))
     ranked = ranked.select("node", "best.*", (F.col("rank") < K).alias("listed"))
-    return ranked.filter("listed or tree").select("node", "other", "sim", "tree", "listed")
+    return ranked.filter("listed or tree").select("node", "other", "sim", "tree", "fresh", "listed")
 
 
-def _patterns(nodes: DataFrame, width: int, total: int, seed: int) -> DataFrame:
-    """Candidates from TABLES sign patterns, crowded ones in chunks by chance."""
+def _known(graph: DataFrame) -> DataFrame:
+    return graph.select("node", "other", "sim", "tree", F.lit(False).alias("fresh"))
+
+
+def _tables(bits: int) -> int:
+    """How many tables of patterns a pair at the threshold needs to share one with chance MEET."""
+    shared = (1 - np.arccos(LINK) / np.pi) ** bits
+    return max(TABLES, int(np.ceil(np.log(1 - MEET) / np.log(1 - shared))))
+
+
+def _patterns(nodes: DataFrame, width: int, total: int, seed: int, times: int = 1) -> DataFrame:
+    """Candidates from sign patterns, ``times`` as many tables as needed, crowded patterns in chunks by chance."""
     bits = min(30, max(1, int(np.log2(max(total / PER_PATTERN, 2)))))
-    planes = np.random.default_rng(seed).standard_normal((width, TABLES * bits)).astype("f4")
+    tables = times * _tables(bits)
+    planes = np.random.default_rng(seed).standard_normal((width, tables * bits)).astype("f4")
     shared = nodes.sparkSession.sparkContext.broadcast(planes)
 
     @F.pandas_udf("array<long>")
     def signs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         powers = 1 << np.arange(bits, dtype=np.int64)
         for vectors in batches:
-            found = (_matrix(vectors.tolist(), "<f4") @ shared.value > 0).reshape(len(vectors), TABLES, bits)
+            found = (_matrix(vectors.tolist(), "<f4") @ shared.value > 0).reshape(len(vectors), tables, bits)
             yield pd.Series(list((found @ powers).astype(np.int64)))
 
     keyed = nodes.select("id", "single", F.posexplode(signs("single")).alias("table", "pattern"))
@@ -147,23 +164,28 @@ def _patterns(nodes: DataFrame, width: int, total: int, seed: int) -> DataFrame:
         F.col("table").alias("_table"), F.col("pattern").alias("_pattern"), F.ceil(F.col("n") / CHUNK).alias("chunks")
     )
     same = (F.col("table") == F.col("_table")) & (F.col("pattern") == F.col("_pattern"))
-    chunk = F.pmod(F.xxhash64("id", F.lit(seed)), F.coalesce("chunks", F.lit(1))).alias("chunk")
+    chunk = F.pmod(F.xxhash64("id", "table", F.lit(seed)), F.coalesce("chunks", F.lit(1))).alias("chunk")
     chunked = keyed.join(crowded, same, "left").select("id", "single", "table", "pattern", chunk)
     return _meet(chunked, "table", "pattern", "chunk")
 
 
 def _descend(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
-    """One round: neighbours in both directions meet at every node, in chunks dealt by chance."""
+    """One round: neighbours in both directions meet at every node that has new ones, in chunks dealt by chance."""
     lists = graph.filter("listed")
-    ends = lists.select(F.col("node").alias("at"), F.col("other").alias("id"))
-    back = lists.select(F.col("other").alias("at"), F.col("node").alias("id"))
-    own = lists.select(F.col("node").alias("at"), F.col("node").alias("id"))
-    ends = ends.unionAll(back).unionAll(own).distinct()
-    sizes = ends.groupBy("at").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")).filter("chunks > 1")
-    chunked = left_join_splittable(ends, sizes, "at")
-    chunk = F.pmod(F.xxhash64("id", "at", F.lit(seed)), F.coalesce("chunks", F.lit(1))).alias("chunk")
+    ends = lists.select(F.col("node").alias("at"), F.col("other").alias("id"), "fresh")
+    back = lists.select(F.col("other").alias("at"), F.col("node").alias("id"), "fresh")
+    own = lists.select(F.col("node").alias("at"), F.col("node").alias("id"), F.lit(False).alias("fresh"))
+    ends = ends.unionAll(back).unionAll(own).groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
+    sizes = ends.groupBy("at").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"), F.max("fresh").alias("_fresh"))
+    chunked = left_join_splittable(ends, sizes.filter("_fresh"), "at", "inner")
+    chunk = F.pmod(F.xxhash64("id", "at", F.lit(seed)), F.col("chunks")).alias("chunk")
     members = left_join_splittable(chunked.select("at", "id", chunk), nodes.select("id", "single"), "id", "inner")
-    return _closest(graph.drop("listed").unionAll(_meet(members, "at", "chunk")))
+    return _closest(_known(graph).unionAll(_meet(members, "at", "chunk")))
+
+
+def _changed(graph: DataFrame) -> float:
+    """Share of the lists' entries that are new."""
+    return graph.filter("listed").agg(F.avg(F.col("fresh").cast("int"))).first()[0] or 0.0
 
 
 def _verified(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -183,7 +205,10 @@ def _verified(graph: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _count_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of the members of two blocks, counted with multiplicity: ``id, n``."""
+    """Links of the members of two blocks, counted with multiplicity: ``id, n``; ``other`` is the id again.
+
+    Also, with a count of 0, the links ``id, other`` of a spanning forest.
+    """
     for batch in batches:
         for row in batch.itertuples():
             ids, n, block = np.asarray(row.ids), np.asarray(row.copies), np.asarray(row.blocks)
@@ -193,14 +218,21 @@ def _count_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             links = matrix[first] @ matrix[second].T >= LINK
             if row.low == row.high:
                 np.fill_diagonal(links, False)
-                yield pd.DataFrame({"id": ids[first], "n": links @ n[second]})
+                yield pd.DataFrame({"id": ids[first], "other": ids[first], "n": links @ n[second]})
+                order, square = ids[first], links
             else:
-                yield pd.DataFrame({"id": ids[first], "n": links @ n[second]})
-                yield pd.DataFrame({"id": ids[second], "n": links.T @ n[first]})
-
-
-def _enlarged(members: DataFrame) -> DataFrame:
-    """``id, n``: links of the members (``root, id, unit, copies``) of whole components, all with all in blocks."""
+                yield pd.DataFrame({"id": ids[first], "other": ids[first], "n": links @ n[second]})
+                yield pd.DataFrame({"id": ids[second], "other": ids[second], "n": links.T @ n[first]})
+                order, half = np.concatenate((ids[first], ids[second])), links.shape[0]
+                square = np.zeros((len(order), len(order)), dtype=bool)
+                square[:half, half:], square[half:, :half] = links, links.T
+            children, parents = _forest(square)
+            if children:
+                yield pd.DataFrame({"id": order[children], "other": order[parents], "n": 0})
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """``id, other, n`` of ``_count_blocks`` for the members (``root, id, unit, copies``), all of a root with all in blocks."""
     sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
     dealt = left_join_splittable(members, sizes, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
@@ -211,8 +243,15 @@ def _enlarged(members: DataFrame) -> DataFrame:
         F.collect_list("block").alias("blocks"),
         F.collect_list("unit").alias("vectors"),
     )
-    counted = groups.select("low", "high", "ids", "copies", "blocks", "vectors").mapInPandas(_count_blocks, "id long, n long")
-    return counted.groupBy("id").agg(F.sum("n").alias("n"))
+    groups = groups.select("low", "high", "ids", "copies", "blocks", "vectors")
+    return groups.mapInPandas(_count_blocks, "id long, other long, n long")
+
+
+def _all_with_all(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``_count`` gives, by comparing all nodes with all."""
+    counted = stored(_blocks(nodes.select(F.lit(0).alias("root"), "id", "unit", "copies")), "all")
+    counts = counted.groupBy("id").agg(F.sum("n").alias("n"))
+    return stored(counts, "counts"), stored(components(counted.select(F.col("id").alias("a"), F.col("other").alias("b"))), "roots")
 
 
 def _count(graph: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -225,7 +264,7 @@ def _count(graph: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     marked = left_join_splittable(roots, dense.withColumn("is_dense", F.lit(True)), "root")
     whole = marked.filter("is_dense").select(F.col("node").alias("id"), "root")
     facts = nodes.select("id", "unit", "copies")
-    enlarged = _enlarged(left_join_splittable(whole, facts, "id", "inner"))
+    enlarged = _blocks(left_join_splittable(whole, facts, "id", "inner")).groupBy("id").agg(F.sum("n").alias("n"))
     ends = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionAll(links.select("b", "a"))
     ends = left_join_splittable(ends, whole.select("id"), "id", "left_anti")
     plain = left_join_splittable(ends, nodes.select(F.col("id").alias("other"), "copies"), "other", "inner")
@@ -234,7 +273,8 @@ def _count(graph: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def audit(counts: DataFrame, nodes: DataFrame, queries: int = QUERIES) -> float:
-    """Found links over true links of the query nodes: at most ``queries``, drawn by hash, against all rows."""
+    """Mean share of its true links that a query node has found, among the nodes with fewer than K linked nodes or
+    among the others, whichever is less. At most ``queries`` nodes, drawn by hash, are held against all rows."""
     drawn = nodes.orderBy(unit_hash(F.lit(SEED), "id"), "id").select("id", "unit").limit(queries).collect()
     if not drawn:
         return 1.0
@@ -242,16 +282,19 @@ def audit(counts: DataFrame, nodes: DataFrame, queries: int = QUERIES) -> float:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, wanted = shared.value
-        sums = np.zeros(len(ids), dtype=np.int64)
+        sums, linked = np.zeros((2, len(ids)), dtype=np.int64)
         for batch in batches:
             if len(batch):
                 links = (wanted @ _matrix(batch["unit"].tolist()).T >= LINK) & (ids[:, None] != batch["id"].to_numpy())
                 sums += links @ batch["copies"].to_numpy()
-        yield pd.DataFrame({"id": ids, "true": sums})
+                linked += links.sum(axis=1)
+        yield pd.DataFrame({"id": ids, "true": sums, "linked": linked})
 
-    true = nodes.select("id", "unit", "copies").mapInPandas(compare, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    both = true.join(counts, "id", "left").agg(F.sum(F.least("true", F.coalesce("n", F.lit(0)))), F.sum("true")).first()
-    return 1.0 if not both[1] else both[0] / both[1]
+    true = nodes.select("id", "unit", "copies").mapInPandas(compare, "id long, true long, linked long")
+    true = true.groupBy("id").agg(F.sum("true").alias("true"), F.sum("linked").alias("linked")).filter(F.col("true") > 0)
+    share = F.least(F.col("true"), F.coalesce("n", F.lit(0))) / F.col("true")
+    means = true.join(counts, "id", "left").groupBy(F.col("linked") < K).agg(F.avg(share).alias("recall")).collect()
+    return min((row.recall for row in means), default=1.0)
 
 
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
@@ -275,13 +318,15 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
 
     graph = None
     for attempt in range(ATTEMPTS):
-        found = _patterns(nodes, width, total, SEED + attempt)
-        graph = stored(_closest(found if graph is None else graph.drop("listed").unionAll(found)), "graph")
-        for number in range(ROUNDS):
-            graph = stored(_descend(graph, nodes, SEED + number), "graph")
+        found = _patterns(nodes, width, total, SEED + attempt, 1 << attempt)
+        graph, number = stored(_closest(found if graph is None else _known(graph).unionAll(found)), "graph"), 0
+        while _changed(graph) > CHANGED:
+            graph, number = stored(_descend(graph, nodes, SEED + number), "graph"), number + 1
         counts, roots = _count(graph, nodes)
         if audit(counts, nodes) >= RECALL:
             break
+    else:
+        counts, roots = _all_with_all(nodes)
 
     first = nodes.select(F.col("id").alias("node"), "first")
     with_first = roots.join(first, "node")
