@@ -76,3 +76,16 @@ def test_null_empty_long_repeated_and_clashing(spark):
             assert (row.host, row.path, row.rule) == (host, path, rule and rule.text), url
             assert row.verdict == (rule.verdict if rule else "allow")
     assert urls.judge(pages.limit(0), labels).count() == 0
+
+
+def test_general_rules_stay_beside_many_longer_ones(spark):
+    rows, deep = [], "/".join(f"x{'abcdefghijklmn'[k]}" for k in range(14))  # 2 ** 14 sure combinations and more
+    for i in range(400):
+        rows.append((i, f"//{i}", 1))
+    for i in range(60):
+        rows.append((400 + i, f"q://deep/{deep}", 0))
+        rows.append((500 + i, "q://wide/spam", int(i % 10 == 0)))
+    frame = spark.createDataFrame(rows, "page_id long, url string, quality int")
+    frame = frame.withColumn("url", F.when(F.col("page_id") < 400, F.concat(F.lit("q://h"), F.col("page_id"), F.lit(".org/"))).otherwise(F.col("url")))
+    verdicts = {r.page_id: r.verdict for r in urls.judge(frame, frame.select(F.col("page_id").alias("doc_id"), "quality")).collect()}
+    assert {v for i, v in verdicts.items() if i < 400} == {"allow"} and {v for i, v in verdicts.items() if i >= 400} == {"block"}

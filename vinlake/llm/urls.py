@@ -26,7 +26,6 @@ SUPPORT = 0.002  # of the labelled pages
 LEAST = 10  # bad pages that a rule has to have at least, so that few labels do not make rules of chance
 CONFIDENCE = 0.8
 LIFT = 2.0
-RULES = 10_000  # most rules kept, the surest first: the bound of what may be broadcast
 
 
 @dataclass(frozen=True)
@@ -91,7 +90,7 @@ def tokens() -> Column:
 
 
 def mine(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rule`` (tokens), ``key`` (the rarest), ``confidence`` of the kept rules; at most ``RULES`` rows.
+    """``rule`` (tokens), ``key`` (the rarest), ``confidence`` of the kept rules, as many as there are.
 
     ``pages`` has page_id and tokens, ``labels`` doc_id and quality, 0 for a bad page; the label of a page is
     that of its number, and a page with several labels is bad if one says so. No labels, no rules.
@@ -106,9 +105,7 @@ def mine(pages: DataFrame, labels: DataFrame) -> DataFrame:
     found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(baskets)
     enough = (F.col("lift") >= LIFT) & (F.round(F.col("support") * n) >= LEAST)
     rules = found.associationRules.filter((F.col("consequent") == F.array(F.lit(BAD))) & enough)
-    rules = rules.select(F.array_sort("antecedent").alias("rule"), "confidence", "support")
-    order = [F.desc("confidence"), F.desc("support"), F.size("rule"), "rule"]
-    rules = stored(rules.orderBy(*order).limit(RULES), "rules")
+    rules = stored(rules.select(F.array_sort("antecedent").alias("rule"), "confidence"), "rules")
     # A rule is implied if dropping one of its tokens leaves a kept rule. Lists of one length can't imply each other.
     shorter = rules.select(F.col("rule").alias("_rule"), F.explode("rule").alias("_drop"))
     shorter = shorter.select("_rule", F.array_remove("_rule", F.col("_drop")).alias("_left"))
