@@ -76,3 +76,19 @@ def test_chi_square(sure, value):
 
 def test_words_are_counted_once():
     assert outliers.count("a b c a b c d")[4] == 6
+
+
+def test_few_texts_of_rare_sources_are_held_against_their_language(spark):
+    def text(i, word):
+        return " ".join(f"{word}{(i + 1) * k % 397}" for k in range(1, 61))
+
+    rows = [(i, text(i, "word"), lang, "large") for i, lang in enumerate(["en"] * 250 + ["fr"] * 5)]
+    odd = [(1000, text(1, "A-B!C?D;E:"), "en", "rare"), (1001, text(2, "A-B!C?D;E:"), "fr", "rare")]
+    odd += [(1002, text(3, "A-B!C?D;E:"), "xx", "rare")]
+    plain = [(2000, text(7, "word"), "en", "scarce"), (2001, text(8, "word"), "yy", "scarce")]
+    docs = spark.createDataFrame(rows + odd[:1] + plain[:1], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r.kept for r in outliers.judge(docs).collect()}
+    assert not found[1000] and found[2000] and sum(found.values()) == 256
+    docs = spark.createDataFrame(rows + odd + plain, docs.schema)
+    found = {r.doc_id: r.kept for r in outliers.judge(docs).collect()}
+    assert not any(found[i] for i in (1000, 1001, 1002)) and sum(found.values()) == 257

@@ -5,6 +5,8 @@ those of its language and source. Location and scatter are minimum-covariance-de
 mean and covariance of the ``SHARE`` of rows that lie closest, found by concentration steps (distances,
 the closest rows, their mean and covariance, again). Each step is two aggregates over all rows of all
 groups; sums and quantile sketches are made before the shuffle, so a hot source costs no more.
+Texts of a small source are held against all texts of their language, those of a small language against all:
+these estimates are made from the large sources too, whose own texts do not meet them.
 
 A text is rejected when its squared Mahalanobis distance exceeds what one in ``1 / (1 - SURE)`` rows of a
 normal distribution has, on the scale that makes the group's median distance right, but never a smaller one.
@@ -13,6 +15,7 @@ normal distribution has, on the scale that makes the group's median distance rig
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -84,8 +87,21 @@ def chi_square(sure: float, degrees: int = len(STATISTICS)) -> float:
     return degrees * (1 - spread + NormalDist().inv_cdf(sure) * spread**0.5) ** 3
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """Add ``level``, the group whose estimates a row is held against: 2 source, 1 language, 0 all."""
+def _key(level: Column) -> Column:
+    """The group of a row at a level: 2 its language and source, 1 its language, 0 all."""
+    key = F.struct(
+        level.alias("level"),
+        F.when(level >= 1, F.col("lang")).alias("lang"),
+        F.when(level >= 2, F.col("source")).alias("source"),
+    )
+    return F.to_json(key)
+
+
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``group``, whose estimates a row is held against, and the passing rows of every group.
+
+    A row that passes is in its own group and in each wider one that some row is held against.
+    """
     fit = rows.filter(~F.col("base_failed"))
     sizes = fit.groupBy("lang", "source").agg(F.count("*").alias("n"))
     by_lang = sizes.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("n_lang"))
@@ -97,12 +113,14 @@ def _grouped(rows: DataFrame) -> DataFrame:
     levels = stored(levels, "levels")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     with_level = rows.join(levels, same, "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    key = F.struct(
-        "level",
-        F.when(F.col("level") >= 1, F.col("lang")).alias("lang"),
-        F.when(F.col("level") >= 2, F.col("source")).alias("source"),
-    )
-    return with_level.withColumn("group", F.to_json(key)).drop("_lang", "_source", "level")
+    with_level = stored(with_level.withColumn("group", _key(F.col("level"))).drop("_lang", "_source"), "grouped")
+    passing = with_level.filter(~F.col("base_failed"))
+    wide = levels.filter("level = 1").select("_lang").distinct()
+    wider = passing.join(wide, F.col("lang").eqNullSafe(F.col("_lang")), "left_semi")
+    members = [passing.filter("level = 2"), wider.withColumn("group", _key(F.lit(1)))]
+    if not with_level.filter("level = 0").isEmpty():
+        members.append(passing.withColumn("group", _key(F.lit(0))))
+    return with_level.drop("level"), reduce(DataFrame.unionAll, [one.drop("level") for one in members])
 
 
 def _distance() -> Column:
@@ -179,8 +197,8 @@ def judge(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < FEWEST) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     flat = counted.select("doc_id", "lang", "source", "_found.*").withColumn("base_failed", failed)
     rows = stored(flat.select("*", *statistics()), "statistics")
-    rows = stored(_grouped(rows), "grouped")
-    found = estimates(rows.filter(~F.col("base_failed")))
+    rows, members = _grouped(rows)
+    found = estimates(members)
     other = found.withColumnRenamed("group", "_group")
     far = rows.join(other, F.col("group") == F.col("_group"), "left").withColumn("distance", _distance() / F.col("scale"))
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("distance") > chi_square(SURE), F.lit(False))
