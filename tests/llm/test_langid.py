@@ -70,3 +70,16 @@ def test_null_empty_long_repeated_and_clashing(spark):
     assert langid.identify(docs.limit(0), PATH).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.identify(unlabelled, PATH).collect()} == {"und"}
+
+
+def test_a_run_of_letters_that_no_language_uses():
+    pieces = langid.Pieces.of(["▁", "the", "der", "▁the", "▁der"])
+    chances = np.array([[0.2, 0.2], [0.3, 1e-6], [1e-6, 0.3], [0.5, 1e-6], [1e-6, 0.5], [5e-8, 4e-8]])
+    unseen = "漢" * langid.PART
+    scorer = langid.Scorer(langid.Model(["de", "en"], pieces, chances[:, ::-1]))
+    assert [lang for lang, _ in scorer.score([f"the {unseen} the", f"der {unseen}", unseen])] == ["en", "de", "en"]
+    assert all(0.5 < score <= 1 for _, score in scorer.score([f"the {unseen} the", unseen * 20]))
+    found = langid.log_chances(["the", unseen], pieces, chances)
+    assert np.allclose(found[1], math.log(0.2) + langid.PART * np.log(chances[5]))
+    uses = langid.expected_uses([unseen, "the"], np.array([[3.0, 0.0], [0.0, 0.0]]), pieces, chances)
+    assert np.allclose(uses[[0, 5]], [[3, 0], [3 * langid.PART, 0]]) and np.isfinite(uses).all()

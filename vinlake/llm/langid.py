@@ -33,6 +33,7 @@ START = "▁"  # how the vocabulary writes the beginning of a word
 _WORD = re.compile(rf"[^\W\d_]{{1,{PART}}}")
 _LETTER = regex.compile(r"\p{L}")
 _REMEMBERED = 1 << 18
+_TINY = 1e-250  # smaller sums are taken in logs, before they lose digits or become 0
 
 
 def pieces_of(path: str) -> list[str]:
@@ -88,6 +89,19 @@ def _forward(uses: np.ndarray, chances: np.ndarray) -> np.ndarray:
     return sums
 
 
+def _forward_logs(uses: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """The same in logs: slower, but of any size."""
+    rows, ends, lengths = uses.shape
+    sums = np.full((rows, ends, logs.shape[1]), -np.inf)
+    sums[:, 0] = 0.0
+    for end in range(1, ends):
+        for length in range(1, min(lengths - 1, end) + 1):
+            found = np.flatnonzero(uses[:, end, length] >= 0)
+            if len(found):
+                sums[found, end] = np.logaddexp(sums[found, end], sums[found, end - length] + logs[uses[found, end, length]])
+    return sums
+
+
 def by_length(words: list[str]) -> list[list[int]]:
     """Places of the words, those of one length together."""
     groups: dict[int, list[int]] = defaultdict(list)
@@ -102,7 +116,14 @@ def log_chances(words: list[str], pieces: Pieces, chances: np.ndarray) -> np.nda
     for places in by_length(words):
         for some in range(0, len(places), 4096):
             part = places[some : some + 4096]
-            out[part] = np.log(_forward(pieces.uses([words[p] for p in part]), chances)[:, -1])
+            uses = pieces.uses([words[p] for p in part])
+            whole = _forward(uses, chances)[:, -1]
+            tiny = np.flatnonzero((whole < _TINY).any(axis=1))
+            if len(tiny):
+                whole[tiny] = 1.0
+            out[part] = np.log(whole)
+            if len(tiny):
+                out[np.asarray(part)[tiny]] = _forward_logs(uses[tiny], np.log(chances))[:, -1]
     return out
 
 
@@ -112,10 +133,14 @@ def expected_uses(words: list[str], counts: np.ndarray, pieces: Pieces, chances:
     for places in by_length(words):
         for some in range(0, len(places), 4096):
             part = places[some : some + 4096]
-            uses = pieces.uses([words[p] for p in part])
+            uses, times = pieces.uses([words[p] for p in part]), counts[part]
             forward, (_, ends, lengths) = _forward(uses, chances), uses.shape
+            tiny = (forward[:, -1] < _TINY).any(axis=1)
+            if tiny.any():
+                _add_expected_by_logs(out, uses[tiny], times[tiny], np.log(chances))
+                uses, times, forward = uses[~tiny], times[~tiny], forward[~tiny]
             backward = np.zeros_like(forward)
-            backward[:, -1] = counts[part] / forward[:, -1]
+            backward[:, -1] = times / forward[:, -1]
             for end in range(ends - 1, 0, -1):
                 for length in range(1, min(lengths - 1, end) + 1):
                     found = np.flatnonzero(uses[:, end, length] >= 0)
@@ -127,6 +152,22 @@ def expected_uses(words: list[str], counts: np.ndarray, pieces: Pieces, chances:
     return out
 
 
+def _add_expected_by_logs(out: np.ndarray, uses: np.ndarray, times: np.ndarray, logs: np.ndarray) -> None:
+    """Add the expected uses of words whose probability is too small for a plain sum."""
+    forward, (_, ends, lengths) = _forward_logs(uses, logs), uses.shape
+    backward = np.full_like(forward, -np.inf)
+    with np.errstate(divide="ignore"):
+        backward[:, -1] = np.log(times) - forward[:, -1]
+    for end in range(ends - 1, 0, -1):
+        for length in range(1, min(lengths - 1, end) + 1):
+            found = np.flatnonzero(uses[:, end, length] >= 0)
+            if len(found):
+                number = uses[found, end, length]
+                back = backward[found, end] + logs[number]
+                backward[found, end - length] = np.logaddexp(backward[found, end - length], back)
+                np.add.at(out, number, np.exp(forward[found, end - length] + back))
+
+
 @dataclass
 class Model:
     """Languages, vocabulary and the probability of each piece in each language."""
