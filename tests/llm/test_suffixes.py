@@ -1,0 +1,103 @@
+import random
+from collections import Counter
+from hashlib import sha256
+
+import pytest
+
+from vinlake.llm import suffixes
+from vinlake.llm.common import table
+
+
+def plain_cuts(texts, length):
+    """Bytes kept, number of removed bytes and of removed runs of each text."""
+    data = [(text or "").encode() for text in texts]
+    seen = Counter(one[at : at + length] for one in data for at in range(len(one) - length + 1))
+    out = []
+    for one in data:
+        gone = bytearray(len(one))
+        for at in range(len(one) - length + 1):
+            if seen[one[at : at + length]] > 1:
+                gone[at : at + length] = b"\1" * length
+        runs = sum(1 for at, flag in enumerate(gone) if flag and not (at and gone[at - 1]))
+        out.append((bytes(byte for byte, flag in zip(one, gone, strict=True) if not flag), sum(gone), runs))
+    return out
+
+
+def check(spark, texts, length=suffixes.LENGTH, most=suffixes.GROUP_BYTES):
+    docs = spark.createDataFrame([(i, text, b"x") for i, text in enumerate(texts)], "doc_id long, text string, key binary")
+    found = {r.doc_id: r for r in suffixes.cut_repeats(docs, length, most).collect()}
+    assert len(found) == len(texts)
+    for number, (text, (kept, removed, runs)) in enumerate(zip(texts, plain_cuts(texts, length), strict=True)):
+        row = found[number]
+        assert (row.n_bytes, row.n_removed, row.n_spans) == (len((text or "").encode()), removed, runs), number
+        assert row.kept_sha256 == sha256(kept).hexdigest(), number
+        assert sum(end - begin for begin, end in row.spans) == removed
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_windows_of_made_contents(seed):
+    chance = random.Random(seed)
+    length, kinds = chance.choice([8, 9, 12, 20, 33]), chance.choice([1, 2, 4, 250])
+    base = bytes(chance.randrange(kinds) for _ in range(60))
+    contents = []
+    for _ in range(chance.randint(1, 8)):
+        a, b = sorted((chance.randrange(60), chance.randrange(60)))
+        tail = bytes(chance.randrange(kinds) for _ in range(chance.randint(0, 60)))
+        contents.append(base[a:b] + tail if chance.random() < 0.5 else tail)
+    seen = Counter(one[at : at + length] for one in contents for at in range(len(one) - length + 1))
+    found = suffixes.repeated_windows(contents, [1] * len(contents), length)
+    expected = [[seen[one[at : at + length]] > 1 for at in range(len(one) - length + 1)] for one in contents]
+    assert [flags.tolist() for flags in found] == expected
+
+
+def test_pieces_cover_every_window_once_and_agree_on_equal_windows():
+    chance = random.Random(5)
+    passage = bytes(chance.randrange(256) for _ in range(900))
+    texts = [bytes(chance.randrange(256) for _ in range(n)) + passage + b"a" * 700 for n in (0, 1, 150, suffixes.CHUNK - 500)]
+    filed = {}
+    for text in texts:
+        next_window = 0
+        for anchor, at, windows, far in suffixes.pieces(text):
+            assert at == next_window and 0 <= far < suffixes.LENGTH
+            next_window = at + windows
+            for window in range(at, next_window):
+                content = text[window : window + suffixes.LENGTH]
+                assert filed.setdefault(content, (anchor, far - (window - at))) == (anchor, far - (window - at))
+        assert next_window == len(text) - suffixes.LENGTH + 1
+
+
+def test_whole_table_against_brute_force(spark, folder):
+    texts = [row.text for row in table(spark, folder, "documents").orderBy("doc_id").collect()]
+    check(spark, texts)
+
+
+def test_passage_in_many_different_texts_is_split_by_content(spark):
+    chance = random.Random(7)
+
+    def noise(size):
+        return "".join(chance.choices("abcdefgh ", k=size))
+
+    passage = noise(260)
+    texts = [noise(chance.randrange(150)) + passage + noise(chance.randrange(150)) for _ in range(120)]
+    texts += [passage[:150] + noise(100), noise(90) + passage[100:], passage[5:50], noise(400)]
+    near = noise(500)
+    texts += [near[:place] + "#" + near[place + 1 :] for place in range(0, 500, 9)]
+    check(spark, texts, length=60, most=4_000)
+
+
+def test_null_empty_long_overlapping_and_repeated(spark):
+    chance = random.Random(8)
+    long = "".join(chance.choices("abcdefghij é\n", k=150_000))
+    texts = [None, "", "short", "short", "a" * 399, "b" * 400, "c" * 401, "d" * 5000, long, long[70_000:71_000] + "e" * 30]
+    texts += ["é" * 300, "x" + "é" * 300, "same text " * 60, "same text " * 60]
+    check(spark, texts)
+
+
+def test_repeated_ids_nulls_and_no_rows(spark):
+    text = "".join(map(str, range(400)))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, "z" * 100), (None, None)], "doc_id long, text string")
+    rows = suffixes.cut_repeats(docs).collect()
+    assert sorted((r.doc_id or 0, r.n_removed, r.n_spans) for r in rows) == [(0, 0, 0), (0, 0, 0), (1, len(text), 1), (1, len(text), 1)]
+    assert suffixes.cut_repeats(docs.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        suffixes.cut_repeats(docs, 7)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, toxicity, urls
+from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, suffixes, toxicity, urls
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,12 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
 
+def op11_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text without the passages that occur twice."""
+    found = suffixes.cut_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -85,5 +91,6 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "op11_suffixes": op11_suffixes,
 }
 ORACLE_SQL: dict[str, str] = {}
