@@ -71,18 +71,20 @@ def test_whole_table_against_brute_force(spark, folder):
     check(spark, texts)
 
 
-def test_passage_in_many_different_texts_is_split_by_content(spark):
-    chance = random.Random(7)
+def test_passage_in_many_different_texts_is_split_by_content(spark, monkeypatch):
+    chance, splits, split = random.Random(7), [], suffixes._split
+    monkeypatch.setattr(suffixes, "_split", lambda rows, width, length: splits.append(width) or split(rows, width, length))
 
     def noise(size):
         return "".join(chance.choices("abcdefgh ", k=size))
 
-    passage = noise(260)
-    texts = [noise(chance.randrange(150)) + passage + noise(chance.randrange(150)) for _ in range(120)]
-    texts += [passage[:150] + noise(100), noise(90) + passage[100:], passage[5:50], noise(400)]
-    near = noise(500)
-    texts += [near[:place] + "#" + near[place + 1 :] for place in range(0, 500, 9)]
-    check(spark, texts, length=60, most=4_000)
+    passage = noise(460)
+    texts = [noise(chance.randrange(250)) + passage + noise(chance.randrange(250)) for _ in range(120)]
+    texts += [passage[:250] + noise(200), noise(190) + passage[100:], passage[5:50], noise(600)]
+    near = noise(700)
+    texts += [near[:place] + "#" + near[place + 1 :] for place in range(0, 700, 9)]
+    check(spark, texts, length=160, most=6_000)
+    assert splits[:3] == [128, 64, 32]
 
 
 def test_null_empty_long_overlapping_and_repeated(spark):

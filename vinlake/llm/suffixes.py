@@ -207,7 +207,7 @@ def _split(rows: DataFrame, width: int, length: int) -> DataFrame:
     """Pieces cut to blocks of ``width`` distances from the anchor, each grouped by the core that all its windows share."""
     windows = F.octet_length("content") - (length - 1)
     blocks = F.sequence(F.floor((F.col("far") - windows + 1) / width), F.floor(F.col("far") / width))
-    cut = rows.withColumn("low", F.explode(blocks).cast("int") * F.lit(width))
+    cut = rows.withColumn("block", F.explode(blocks)).withColumn("low", F.col("block").cast("int") * F.lit(width))
     cut = cut.withColumn("skip", F.greatest(F.lit(0), F.col("far") - F.col("low") - F.lit(width - 1)))
     cut = cut.withColumn("last", F.least(windows - 1, F.col("far") - F.col("low")))
     part = F.substring("content", F.col("skip") + 1, F.col("last") - F.col("skip") + F.lit(length))
