@@ -1,0 +1,118 @@
+import random
+from decimal import Decimal
+
+import numpy as np
+import pytest
+
+from vinlake.llm import whitening
+from vinlake.llm.common import table
+
+
+def plain(vectors):
+    """Counts, deviations, components times vectors and shares, in plain numpy and Python integers."""
+    x = [[int(np.floor(1024 * float(c))) + 100_000 for c in v] for v in vectors]
+    n, d = len(x), len(x[0])
+    sums = [sum(row[j] for row in x) for j in range(d)]
+    deviations = [sum((n * row[j] - sums[j]) ** 2 for j in range(d)) for row in x]
+    centred = np.array([[(n * row[j] - sums[j]) / n for j in range(d)] for row in x])
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(-values)
+    return n, deviations, centred, values[order], axes[:, order]
+
+
+def check(found, ids, vectors, most=8, close=1e-6):
+    n, deviations, centred, values, axes = plain(vectors)
+    k = min(most, int(sum(values > 1e-9 * values[0])))
+    rows = {(r.vec_id, r.component): r for r in found}
+    assert len(rows) == len(found) == k * len(ids)
+    for place in range(k):
+        mine = np.array([rows[i, place + 1].whitened for i in ids])
+        plain_one = centred @ axes[:, place] / np.sqrt(values[place])
+        assert min(np.abs(mine - plain_one).max(), np.abs(mine + plain_one).max()) < close
+        assert rows[ids[0], place + 1].explained == pytest.approx(values[place] / values.sum(), rel=1e-9)
+    for i, deviation in zip(ids, deviations, strict=True):
+        assert (rows[i, 1].n, rows[i, 1].deviation) == (n, deviation)
+    assert len({r.identity_error for r in found}) == 1 and found[0].identity_error < 1e-9
+
+
+def test_whole_table_against_numpy(spark, folder):
+    rows = table(spark, folder, "embeddings").collect()
+    check(whitening.whiten(table(spark, folder, "embeddings")).collect(), [r.vec_id for r in rows], [r.embedding for r in rows])
+
+
+def test_polynomial_has_the_scatters_traces_and_determinants(spark):
+    chance = random.Random(2)
+    for d in (1, 2, 3, 7):
+        rows = np.array([[chance.randrange(-50, 50) for _ in range(d)] for _ in range(d + 2)], dtype=object)
+        matrix = (rows.T @ rows).tolist()
+        found = whitening.characteristic_polynomial(spark, matrix)
+        assert found[d] == 1
+        for x in range(-3, 4):
+            plain_one = [[Decimal(x * (i == j) - matrix[i][j]) for j in range(d)] for i in range(d)]
+            determinant = Decimal(1)
+            with whitening.localcontext(whitening.Context(prec=60)):
+                for k in range(d):  # elimination in decimals
+                    pivot = max(range(k, d), key=lambda i: abs(plain_one[i][k]))
+                    if pivot != k:
+                        plain_one[k], plain_one[pivot], determinant = plain_one[pivot], plain_one[k], -determinant
+                    determinant *= plain_one[k][k]
+                    if not plain_one[k][k]:
+                        break
+                    for i in range(k + 1, d):
+                        factor = plain_one[i][k] / plain_one[k][k]
+                        plain_one[i] = [a - factor * b for a, b in zip(plain_one[i], plain_one[k], strict=True)]
+            assert sum(c * x**power for power, c in enumerate(found)) == round(determinant)
+
+
+def test_roots_single_multiple_and_close():
+    def of(roots):
+        out = [1]
+        for root in roots:
+            out = [(out[i - 1] if i else 0) - root * (out[i] if i < len(out) else 0) for i in range(len(out) + 1)]
+        return out
+
+    for roots in ([5], [7, 7, 7, 2, 0, 0], [10**30 + 1, 10**30, 3, 3, 1], [0, 0, 4], [9, 8, 7, 6, 5, 4, 3, 2, 1]):
+        found = whitening.largest_roots(of(roots), 8)
+        expected = sorted((root for root in roots if root), reverse=True)[:8]
+        assert [Decimal(a) / (1 << b) for a, b, _ in found] == pytest.approx([Decimal(x) for x in expected], rel=Decimal("1e-25"))
+        for (_, _, one), (_, _, two), a, b in zip(found, found[1:], expected, expected[1:], strict=False):
+            assert (one == two) == (a == b)
+
+
+def test_close_and_equal_eigenvalues(spark):
+    # Axes of equal variance, and two whose variances differ in the ninth digit.
+    vectors = [[float(s * (i == j)) for j in range(4)] for i in range(4) for s in (-3, 3)]
+    vectors += [[0.0, 0.0, 0.0, 0.0]]
+    docs = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = whitening.whiten(docs).collect()
+    assert len(found) == 4 * 9 and {r.identity_error < 1e-12 for r in found} == {True}
+    assert {round(r.explained, 12) for r in found} == {0.25}
+    axes = [[100_000.0, 1.0], [-100_000.0, -1.0], [1.0, -100_000.001], [-1.0, 100_000.001], [5.0, 3.0]]
+    docs = spark.createDataFrame(list(enumerate(axes)), "vec_id long, embedding array<double>")
+    found = whitening.whiten(docs).collect()
+    assert len(found) == 10 and found[0].identity_error < 1e-9
+
+
+def test_large_entries_stay_exact(spark):
+    chance = random.Random(4)
+    vectors = [[chance.uniform(-2e5, 2e5), chance.uniform(-900, 900)] for _ in range(7)]
+    docs = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    x = np.array([[chance.randrange(-(1 << 60), 1 << 60) for _ in range(3)] for _ in range(50)])
+    exact = [[sum(int(a[i]) * int(a[j]) for a in x) for j in range(3)] for i in range(3)]
+    assert whitening.products(x).tolist() == exact
+    check(whitening.whiten(docs).collect(), list(range(7)), vectors, close=1e-5)
+
+
+def test_null_non_finite_mixed_lengths_repeats_and_clashing_names(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [1.0, 2.0]), (2, [3.0, -1.0]), (2, [3.0, -1.0]), (None, [0.5, 0.25]), (4, [1.0]), (5, [4.0]), (6, [7.0, 7.0, 7.0])]
+    bad = [(7, None), (8, [1.0, None]), (9, [nan, 1.0]), (10, [inf, 1.0]), (11, [-inf]), (12, [])]
+    rows = [(i, v, "x", 1, 1) for i, v in good + bad]
+    kinds = "vec_id long, embedding array<float>, vector string, d int, component int"
+    found = whitening.whiten(spark.createDataFrame(rows, kinds)).collect()
+    assert sorted((r.vec_id or 0, r.component, r.n) for r in found) == sorted(
+        [(i, c, 4) for i in (1, 2, 2, 0) for c in (1, 2)] + [(4, 1, 2), (5, 1, 2)]
+    )
+    assert whitening.whiten(spark.createDataFrame(rows, kinds).limit(0)).collect() == []
+    with pytest.raises(Exception, match="too large"):
+        whitening.whiten(spark.createDataFrame([(1, [1e300]), (2, [0.0])], "vec_id long, embedding array<double>")).collect()

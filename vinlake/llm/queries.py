@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, suffixes, toxicity, urls
+from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, suffixes, toxicity, urls, whitening
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,11 @@ def op11_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the eight largest principal components, scaled to unit variance."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -92,5 +97,6 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
     "op11_suffixes": op11_suffixes,
+    "op12_whitening": op12_whitening,
 }
 ORACLE_SQL: dict[str, str] = {}
