@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, pii, simhash, suffixes, toxicity, urls, whitening
+from vinlake.llm import bpe, langid, mixing, neighbours, ordinal, outliers, phrases, pii, simhash, suffixes, toxicity, urls, whitening
 from vinlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    return phrases.mine(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -98,5 +103,6 @@ QUERIES: dict[str, Query] = {
     "op10_urls": op10_urls,
     "op11_suffixes": op11_suffixes,
     "op12_whitening": op12_whitening,
+    "op13_phrases": op13_phrases,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op13_phrases": phrases.SQL}
