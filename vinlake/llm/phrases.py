@@ -222,7 +222,8 @@ def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, buckets:
     for words in range(longest, 0, -1):
         # Flow out of the nodes: all that begins with so many words, whole edges and ends of pieces alike.
         begin = F.lit("") if words == 1 else F.substring_index("rest", " ", words - 1) if words < longest else F.col("rest")
-        now = spread.groupBy("first", begin.alias("rest")).agg(F.sum("n").alias("n"))
+        # Naming the rest keeps it in the exchange for single words, too, so that all levels share one.
+        now = spread.groupBy("first", begin.alias("rest")).agg(F.sum(F.when(F.col("rest").isNotNull(), F.col("n"))).alias("n"))
         partial = salt.startswith("h") if words > 1 else salt != ""
         wanted = (F.col("n") >= least) | partial | (word == "")
         if words > 1:
