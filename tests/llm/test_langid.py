@@ -20,7 +20,7 @@ def every_way(word, chance):
 
 def test_forward_and_expected_uses_against_all_segmentations():
     names = ["▁", "a", "b", "ab", "▁a", "ba", "bab"]
-    pieces, chances = langid.Pieces.of(names), np.random.default_rng(1).random((len(names) + 1, 2))
+    pieces, chances = langid.Pieces(names), np.random.default_rng(1).random((len(names) + 1, 2))
     words = ["abab", "baba", "a", "bab", "cabc"]
     found = langid.log_chances(words, pieces, chances)
     uses = langid.expected_uses(words, np.ones((5, 2)), pieces, chances)
@@ -73,13 +73,31 @@ def test_null_empty_long_repeated_and_clashing(spark):
 
 
 def test_a_run_of_letters_that_no_language_uses():
-    pieces = langid.Pieces.of(["▁", "the", "der", "▁the", "▁der"])
+    pieces = langid.Pieces(["▁", "the", "der", "▁the", "▁der"])
     chances = np.array([[0.2, 0.2], [0.3, 1e-6], [1e-6, 0.3], [0.5, 1e-6], [1e-6, 0.5], [5e-8, 4e-8]])
-    unseen = "漢" * langid.PART
+    unseen = "漢" * 48
     scorer = langid.Scorer(langid.Model(["de", "en"], pieces, chances[:, ::-1]))
     assert [lang for lang, _ in scorer.score([f"the {unseen} the", f"der {unseen}", unseen])] == ["en", "de", "en"]
     assert all(0.5 < score <= 1 for _, score in scorer.score([f"the {unseen} the", unseen * 20]))
     found = langid.log_chances(["the", unseen], pieces, chances)
-    assert np.allclose(found[1], math.log(0.2) + langid.PART * np.log(chances[5]))
+    assert np.allclose(found[1], math.log(0.2) + 48 * np.log(chances[5]))
     uses = langid.expected_uses([unseen, "the"], np.array([[3.0, 0.0], [0.0, 0.0]]), pieces, chances)
-    assert np.allclose(uses[[0, 5]], [[3, 0], [3 * langid.PART, 0]]) and np.isfinite(uses).all()
+    assert np.allclose(uses[[0, 5]], [[3, 0], [3 * 48, 0]]) and np.isfinite(uses).all()
+
+
+def test_long_words_score_as_short_ones_do(monkeypatch):
+    names = ["▁", "a", "b", "ab", "▁a", "ba", "bab", "bbbbb"]
+    pieces, chances = langid.Pieces(names), np.random.default_rng(2).random((len(names) + 1, 3))
+    words = ["abab", "a", "bbbbbbbabbb", "cabcbbbbb", "c"]
+    expected = langid.log_chances(words, pieces, chances)
+    monkeypatch.setattr(langid, "LONG", 0)
+    assert np.allclose(langid.log_chances(words, pieces, chances), expected)
+    assert np.isfinite(langid.log_chances(["b" * 3000], pieces, chances)).all()
+
+
+def test_an_id_that_repeats_gives_one_text(spark):
+    rows = [(7, f"hot {n}", "en") for n in range(3000)] + [(i, f"text {i}", "en") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = [row.text for row in langid.sample(docs, rows=1000).collect()]
+    others = {f"text {i}" for i in range(100, 160) if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert set(found) - others <= {"hot 0"} and others <= set(found) and len(found) <= len(others) + 1

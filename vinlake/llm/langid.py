@@ -5,7 +5,7 @@ sum over all ways of writing it as pieces of the product of their probabilities,
 algorithm gives in one pass over its letters. A text's is the product over its words.
 
 The probabilities are learned by expectation-maximisation on the words of a bounded sample, at most about
-``ROWS`` documents of each language: expected uses of a piece under all segmentations (forward and
+``ROWS`` ids of each language, one text of each: expected uses of a piece under all segmentations (forward and
 backward sums) over all uses, with ``SMOOTHING`` uses added to every piece.
 """
 
@@ -26,13 +26,13 @@ from vinlake.llm.common import remainder, short_batches, stored, unit_hash
 ROWS = 2_000
 ROUNDS = 3
 SMOOTHING = 0.05
-PART = 48  # letters; longer runs are scored in parts of this many
+LONG = 256  # letters; longer words are scored one by one, in logs, and not learned from
 SEED = 3
 UNKNOWN = "und"
 START = "▁"  # how the vocabulary writes the beginning of a word
-_WORD = re.compile(rf"[^\W\d_]{{1,{PART}}}")
+_WORD = re.compile(r"[^\W\d_]+")
 _LETTER = regex.compile(r"\p{L}")
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 19
 _TINY = 1e-250  # smaller sums are taken in logs, before they lose digits or become 0
 
 
@@ -44,35 +44,60 @@ def pieces_of(path: str) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case runs of letters, the long ones in parts."""
+    """Lower-case runs of letters."""
     return _WORD.findall(text.lower()) if text else []
 
 
-@dataclass
 class Pieces:
-    """The vocabulary: a number for each piece, the last one for a letter that is no piece."""
-
-    number: dict[str, int]
-    longest: int
-
-    @classmethod
-    def of(cls, pieces: list[str]) -> "Pieces":
-        return cls({piece: place for place, piece in enumerate(pieces)}, max(map(len, pieces), default=1))
+    """The vocabulary as a trie: states by letters, the number of the piece that ends in each; the last number is for a letter
+    that is no piece."""
+
+    def __init__(self, pieces: list[str]):
+        self.number = {piece: place for place, piece in enumerate(pieces)}
+        self.longest = max(map(len, pieces), default=1)
+        letters = sorted({letter for piece in pieces for letter in piece})
+        # Letters as columns of the table; column 0 is for all letters of no piece, state 0 for what no piece begins with.
+        self.column = np.zeros(0x110000, dtype=np.int32)
+        self.column[[ord(letter) for letter in letters]] = np.arange(1, len(letters) + 1)
+        steps, ends = [{}, {}], [-1, -1]
+        for piece, place in self.number.items():
+            state = 1
+            for letter in piece:
+                column = int(self.column[ord(letter)])
+                if column not in steps[state]:
+                    steps[state][column] = len(steps)
+                    steps.append({})
+                    ends.append(-1)
+                state = steps[state][column]
+            ends[state] = place
+        self.steps = np.zeros((len(steps), len(letters) + 1), dtype=np.int32)
+        for state, following in enumerate(steps):
+            for column, to in following.items():
+                self.steps[state, column] = to
+        self.ends = np.array(ends, dtype=np.int32)
+
+    def columns(self, words: list[str]) -> np.ndarray:
+        """Table columns of the letters of words of one length, their beginning marked."""
+        size = len(words[0]) + 1
+        return self.column[np.array([START + word for word in words], dtype=f"U{size}").view(np.uint32).reshape(len(words), size)]
 
     def uses(self, words: list[str]) -> np.ndarray:
         """For words of one length: number of the piece that ends at each place with each length, or -1."""
-        get, unknown = self.number.get, len(self.number)
-        size = len(words[0]) + 1
-        out = np.full((len(words), size + 1, min(self.longest, size) + 1), -1, dtype=np.int32)
-        for row, word in enumerate(words):
-            word = START + word
-            for end in range(1, size + 1):
-                for length in range(1, min(self.longest, end) + 1):
-                    found = get(word[end - length : end])
-                    if found is not None:
-                        out[row, end, length] = found
-                    elif length == 1:
-                        out[row, end, length] = unknown
+        columns = self.columns(words)
+        rows, size = columns.shape
+        out = np.full((rows, size + 1, min(self.longest, size) + 1), -1, dtype=np.int32)
+        for begin in range(size):
+            alive, state = np.arange(rows), np.ones(rows, dtype=np.int32)
+            for length in range(1, min(self.longest, size - begin) + 1):
+                state = self.steps[state, columns[alive, begin + length - 1]]
+                on = np.flatnonzero(state)
+                if len(on) < len(alive):
+                    alive, state = alive[on], state[on]
+                    if not len(alive):
+                        break
+                out[alive, begin + length, length] = self.ends[state]
+        single = out[:, 1:, 1]
+        single[single < 0] = len(self.number)
         return out
 
 
@@ -102,6 +127,28 @@ def _forward_logs(uses: np.ndarray, logs: np.ndarray) -> np.ndarray:
     return sums
 
 
+def _long_log_chances(word: str, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    """Log probability of one word of any length under each language, with memory for the longest piece only."""
+    columns, keep = pieces.columns([word])[0], pieces.longest + 1
+    unknown = len(pieces.number)
+    sums = np.full((keep, logs.shape[1]), -np.inf)  # beginnings of the word, by their length modulo keep
+    sums[0] = 0.0
+    for begin in range(len(columns)):
+        here, state = sums[begin % keep].copy(), 1
+        sums[begin % keep] = -np.inf
+        for length, column in enumerate(columns[begin : begin + pieces.longest].tolist(), 1):
+            state = int(pieces.steps[state, column])
+            piece = int(pieces.ends[state]) if state else -1
+            if length == 1 and piece < 0:
+                piece = unknown
+            if piece >= 0:
+                to = (begin + length) % keep
+                sums[to] = np.logaddexp(sums[to], here + logs[piece])
+            if not state:
+                break
+    return sums[len(columns) % keep]
+
+
 def by_length(words: list[str]) -> list[list[int]]:
     """Places of the words, those of one length together."""
     groups: dict[int, list[int]] = defaultdict(list)
@@ -114,8 +161,13 @@ def log_chances(words: list[str], pieces: Pieces, chances: np.ndarray) -> np.nda
     """Log probability of each word under each language, summed over all segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
     for places in by_length(words):
-        for some in range(0, len(places), 4096):
-            part = places[some : some + 4096]
+        if len(words[places[0]]) > LONG:
+            for place in places:
+                out[place] = _long_log_chances(words[place], pieces, np.log(chances))
+            continue
+        at_once = max(1, (1 << 16) // len(words[places[0]]))
+        for some in range(0, len(places), at_once):
+            part = places[some : some + at_once]
             uses = pieces.uses([words[p] for p in part])
             whole = _forward(uses, chances)[:, -1]
             tiny = np.flatnonzero((whole < _TINY).any(axis=1))
@@ -131,8 +183,9 @@ def expected_uses(words: list[str], counts: np.ndarray, pieces: Pieces, chances:
     """Expected uses of every piece by every language, for words that occur ``counts[word, language]`` times."""
     out = np.zeros_like(chances)
     for places in by_length(words):
-        for some in range(0, len(places), 4096):
-            part = places[some : some + 4096]
+        at_once = max(1, (1 << 16) // len(words[places[0]]))
+        for some in range(0, len(places), at_once):
+            part = places[some : some + at_once]
             uses, times = pieces.uses([words[p] for p in part]), counts[part]
             forward, (_, ends, lengths) = _forward(uses, chances), uses.shape
             tiny = (forward[:, -1] < _TINY).any(axis=1)
@@ -181,12 +234,13 @@ def sample(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """``lang, text`` of about ``rows`` documents of every language, outside the held-out third."""
     known = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.filter(F.coalesce(remainder(F.col("doc_id"), 3) != 1, F.lit(False)))
-    # One row per language; the number of languages does not grow with the documents.
-    counts = {row.lang: row.n for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # One row per language; the number of languages does not grow with the documents. Ids count once, however often they are there.
+    counts = {row.lang: row.n for row in known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
     if not counts:
         return known.limit(0).select("lang", "text")
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))])
-    return known.filter(unit_hash(F.lit(SEED), "doc_id") < share[F.col("lang")]).select("lang", "text")
+    some = known.filter(unit_hash(F.lit(SEED), "doc_id") < share[F.col("lang")])
+    return some.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def fit(docs: DataFrame, path: str, rows: int = ROWS) -> Model:
@@ -196,14 +250,14 @@ def fit(docs: DataFrame, path: str, rows: int = ROWS) -> Model:
         for batch in batches:
             found: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                found[lang].update(words_of(text))
+                found[lang].update(word for word in words_of(text) if len(word) <= LONG)
             flat = [(lang, word, n) for lang, many in found.items() for word, n in many.items()]
             yield pd.DataFrame(flat, columns=["lang", "word", "n"])
 
     counted = sample(docs, rows).mapInPandas(count, "lang string, word string, n long")
     counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     languages = [row.lang for row in counted.select("lang").distinct().orderBy("lang").collect()]
-    pieces = Pieces.of(pieces_of(path))
+    pieces = Pieces(pieces_of(path))
     place = {lang: number for number, lang in enumerate(languages)}
     chances = np.full((len(pieces.number) + 1, len(languages)), 1.0 / (len(pieces.number) + 1))
     context = docs.sparkSession.sparkContext
