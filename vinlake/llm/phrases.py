@@ -5,10 +5,6 @@ their occurrences. Only edges are counted in the texts. Where a piece of text en
 shorter ones, the correction for the end of the piece. What begins with a phrase is then all that flows out of its node:
 counts of shorter phrases are sums over edges by their first words.
 
-No phrase occurs more often than its words. So words are counted first, in ``BUCKETS`` sums of words with equal hashes, and a word
-whose sum stays below the limit ends a piece: nothing that contains it can be a candidate. A word that shares its sum with others
-may stay in without need, but none is cut that matters, whatever the size of the corpus.
-
 Edges are dealt out by their first word, so each shorter count is a sum within a task. A word that begins very many edges is dealt
 by its following words as well and its sums are put together afterwards. Which words these are is guessed from a sample; it
 decides where edges go, never what is counted.
@@ -19,11 +15,9 @@ occurs only inside the longer one, so no candidate remains within a path but its
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import reduce
-from itertools import chain, islice
+from itertools import islice
 from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,14 +28,13 @@ LONGEST = 3  # words of an edge
 LEAST = 10  # occurrences of a candidate
 SHARE = 50  # hundredths of its occurrences in a longer candidate that drop a candidate
 TOP = 2_000  # candidates of a language that are returned
-HELD = 300_000  # different edges that a task adds up before it passes them on
+HELD = 400_000  # different edges that a task adds up before it passes them on
 HEAVY = 2_000  # a word with more than one of so many sampled words is dealt out by its following words
 SALTS = 64
 SAMPLE = 20_000  # documents, about, that the heavy words are taken from
 SEED = 13
-BUCKETS = 1 << 21  # sums of words, a bit each for the tasks
-KNOWN = 200_000  # words that a task remembers the verdict on
 UNKNOWN = "und"
+KNOWN = 200_000  # different words that a task holds one copy of
 # Lower-case A-Z, a line feed for what ends a piece, a space for what ends a word.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 
@@ -62,6 +55,16 @@ def edges_of(words: list[bytes], longest: int) -> Iterator[tuple[bytes, ...]]:
     return zip(*[islice(filled, begin, begin + len(words)) for begin in range(longest)], strict=True)
 
 
+class _Copies(dict):
+    """One copy of each word."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= KNOWN:
+            self.clear()
+        self[word] = word
+        return word
+
+
 def heavy_words(docs: DataFrame, share: float) -> set[tuple[str, bytes]]:
     """Languages and words that make up more than 1 in ``HEAVY`` words of a sample: fewer than ``HEAVY`` altogether."""
 
@@ -87,71 +90,6 @@ def heavy_words(docs: DataFrame, share: float) -> set[tuple[str, bytes]]:
     return {(row.lang, bytes(row.word)) for row in counted.filter((F.col("n") * HEAVY > total) & (F.length("word") > 0)).collect()}
 
 
-def _bucket(lang: str, word: bytes, buckets: int) -> int:
-    return crc32(word, crc32(lang.encode())) % buckets
-
-
-def frequent_buckets(docs: DataFrame, least: int, buckets: int = BUCKETS) -> bytes:
-    """A bit for each bucket of words: whether they occur ``least`` times together."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, held = np.zeros(buckets, np.int64), defaultdict(Counter)
-
-        def add_up() -> None:
-            for lang, mine in held.items():
-                places = np.array([_bucket(lang, word, buckets) for word in mine], np.int64)
-                np.add.at(sums, places, np.fromiter(mine.values(), np.int64, len(mine)))
-            held.clear()
-
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["bytes"], strict=True):
-                held[lang].update(chain.from_iterable(pieces_of(text.as_py())))
-                if len(held[lang]) > HELD:
-                    add_up()
-            if sum(map(len, held.values())) > HELD:
-                add_up()
-        add_up()
-        used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(sums[used])], names=["bucket", "n"])
-
-    summed = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    # At most as many numbers as buckets come to the driver.
-    found = summed.filter(F.col("n") >= least).select("bucket").toPandas()["bucket"].to_numpy(np.int64)
-    bits = np.zeros(buckets, bool)
-    bits[found] = True
-    return np.packbits(bits).tobytes()
-
-
-class _Verdicts(dict):
-    """The word itself if it may be in a candidate, else empty."""
-
-    def __init__(self, lang: str, bits: bytes, buckets: int):
-        super().__init__()
-        self.lang, self.bits, self.buckets = lang, bits, buckets
-
-    def __missing__(self, word: bytes) -> bytes:
-        bucket = _bucket(self.lang, word, self.buckets)
-        if len(self) >= KNOWN:
-            self.clear()
-        self[word] = found = word if self.bits[bucket >> 3] >> (7 - bucket % 8) & 1 else b""
-        return found
-
-
-def _runs(words: list[bytes]) -> Iterator[list[bytes]]:
-    """The words between empty ones."""
-    begin = 0
-    while True:
-        try:
-            end = words.index(b"", begin)
-        except ValueError:
-            break
-        if end > begin:
-            yield words[begin:end]
-        begin = end + 1
-    if begin < len(words):
-        yield words[begin:] if begin else words
-
-
 def _salt(lang: str, edge: tuple[bytes, ...], heavy: set) -> bytes:
     """Empty, or where an edge of a heavy word goes: ``s`` by its second word, ``h`` by all if that is heavy too."""
     if (lang, edge[0]) not in heavy:
@@ -161,36 +99,37 @@ def _salt(lang: str, edge: tuple[bytes, ...], heavy: set) -> bytes:
     return b"h%d" % (crc32(b" ".join(edge[1:])) % SALTS)
 
 
-def edges(docs: DataFrame, longest: int, heavy: set, frequent: bytes, buckets: int = BUCKETS) -> DataFrame:
+def edges(docs: DataFrame, longest: int, heavy: set) -> DataFrame:
     """``first, rest, n``: first word with salt and language behind line feeds, the following words, occurrences added up per task.
 
     A row with an empty first word holds the number of all words of the language.
     """
 
-    shared = docs.sparkSession.sparkContext.broadcast((heavy, frequent))
-
     def spell(lang: str, counted: Counter) -> pa.RecordBatch:
-        behind = b"\n" + lang.encode()
-        heavy = shared.value[0]
-        first = [edge[0] + b"\n" + _salt(lang, edge, heavy) + behind for edge in counted]
-        rest = [b" ".join(edge[1:]).rstrip(b" ") for edge in counted]
+        # Edges with the same first word follow each other, which shuffle files compress well.
+        follow: dict[bytes, list] = defaultdict(list)
+        for edge, n in counted.items():
+            follow[edge[0]].append((edge, n))
+        behind, first, rest, numbers = b"\n" + lang.encode(), [], [], []
+        for word, many in follow.items():
+            if (lang, word) in heavy:
+                first += [word + b"\n" + _salt(lang, edge, heavy) + behind for edge, _ in many]
+            else:
+                first += [word + b"\n" + behind] * len(many)
+            rest += [b" ".join(edge[1:] if edge[-1] else edge[1 : edge.index(b"")]) if edge[0] else b"" for edge, _ in many]
+            numbers += [n for _, n in many]
         arrays = [pa.array(first, pa.binary()).cast(pa.string()), pa.array(rest, pa.binary()).cast(pa.string())]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(list(counted.values()), pa.int64())], names=["first", "rest", "n"])
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(numbers, pa.int64())], names=["first", "rest", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
-        words_of: Counter = Counter()
-        verdicts: dict[str, _Verdicts] = {}
+        words_of, copy = Counter(), _Copies().__getitem__
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["bytes"], strict=True):
                 mine = held[lang]
-                if lang not in verdicts:
-                    verdicts[lang] = _Verdicts(lang, shared.value[1], buckets)
-                verdict = verdicts[lang].__getitem__
                 for words in pieces_of(text.as_py()):
                     words_of[lang] += len(words)
-                    for run in _runs(list(map(verdict, words))):
-                        mine.update(edges_of(run, longest))
+                    mine.update(edges_of(list(map(copy, words)), longest))
                     if len(mine) > HELD:
                         yield spell(lang, mine)
                         mine.clear()
@@ -207,31 +146,27 @@ def edges(docs: DataFrame, longest: int, heavy: set, frequent: bytes, buckets: i
     return docs.mapInArrow(count, "first string, rest string, n long")
 
 
-def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, buckets: int = BUCKETS) -> DataFrame:
+def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """``lang, phrase, size, n``: phrases of up to ``longest`` words with at least ``least`` occurrences; size 0 for all words."""
     texts = docs.select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes")
     )
     short_batches()
     share = SAMPLE / max(SAMPLE, docs.count())
-    frequent = frequent_buckets(texts, least, buckets)
-    spread = edges(texts, longest, heavy_words(texts, share), frequent, buckets).repartition("first")
+    spread = edges(texts, longest, heavy_words(texts, share)).repartition("first")
     word, salt = F.substring_index("first", "\n", 1), F.split("first", "\n", 3)[1]
-    lang, levels, size = F.split("first", "\n", 3)[2], [], F.when(word == "", 0).otherwise(1)
-    size = F.when(F.col("rest") == "", size).otherwise(F.size(F.split("rest", " ")) + 1)
-    for words in range(longest, 0, -1):
-        # Flow out of the nodes: all that begins with so many words, whole edges and ends of pieces alike.
-        begin = F.lit("") if words == 1 else F.substring_index("rest", " ", words - 1) if words < longest else F.col("rest")
-        # Naming the rest keeps it in the exchange for single words, too, so that all levels share one.
-        now = spread.groupBy("first", begin.alias("rest")).agg(F.sum(F.when(F.col("rest").isNotNull(), F.col("n"))).alias("n"))
-        partial = salt.startswith("h") if words > 1 else salt != ""
-        wanted = (F.col("n") >= least) | partial | (word == "")
-        if words > 1:
-            # One condition on the sums as well, not to be moved below the exchange: all levels then share it.
-            wanted = F.when(size == words, wanted).otherwise(F.lit(False))
-        phrase = F.concat_ws(" ", word, F.when(F.col("rest") != "", F.col("rest")))
-        levels.append(now.filter(wanted).select(lang.alias("lang"), phrase.alias("phrase"), size.alias("size"), "n"))
-    found = reduce(DataFrame.unionAll, levels).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    lang = F.split("first", "\n", 3)[2]
+    # Flow out of the nodes: an edge counts for all that begins with its first words, and so does the end of a piece.
+    begins = [F.col("rest"), *[F.substring_index("rest", " ", words) for words in range(longest - 2, 0, -1)], F.lit("")]
+    shorter = [F.when(more != less, less) for more, less in zip(begins, begins[1:], strict=False)]
+    flows = spread.select("first", F.explode(F.array(F.col("rest"), *shorter)).alias("rest"), "n").filter(F.col("rest").isNotNull())
+    flows = flows.groupBy("first", "rest").agg(F.sum("n").alias("n"))
+    size = F.when(word == "", 0).when(F.col("rest") == "", 1).otherwise(F.size(F.split("rest", " ")) + 1)
+    partial = F.when(F.col("rest") == "", salt != "").otherwise(salt.startswith("h"))
+    phrase = F.concat_ws(" ", word, F.when(F.col("rest") != "", F.col("rest")))
+    own = flows.filter((F.col("n") >= least) | partial | (word == ""))
+    own = own.select(lang.alias("lang"), phrase.alias("phrase"), size.alias("size"), "n")
+    found = own.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return stored(found.filter((F.col("n") >= least) | (F.col("size") == 0)), "counts")
 
 
