@@ -1,0 +1,86 @@
+"""Records with line breaks in quoted values, read in many splits, against a sequential parse."""
+
+import csv
+import io
+import random
+
+import pytest
+
+from vinlake.sources.csv_records import never_closed, records_of
+from vinlake.sources.files import read_text_columns
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "48b", "spark.sql.files.openCostInBytes": "48b"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def made(chance, rows, end):
+    out = ["k,one,two" + end]
+    for number in range(rows):
+        fields = [str(number)]
+        for _ in range(2):
+            text = "".join(chance.choice(['"', ",", "\n", "\r\n", "a", "bc", " ", "é"]) for _ in range(chance.randrange(12)))
+            if chance.random() < 0.5 or text[:1] == '"' or any(c in text for c in ",\n\r"):
+                text = '"' + text.replace('"', '""') + '"'
+            fields.append(text)
+        out.append(",".join(fields) + end)
+        if chance.random() < 0.1:
+            out.append(end)
+    return "".join(out)
+
+
+def sequential(text):
+    rows = [row for row in csv.reader(io.StringIO(text, newline=""), doublequote=True) if any(field.strip() for field in row)]
+    return sorted((tuple(field or None for field in row) for row in rows[1:]), key=lambda row: int(row[0]))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_many_splits_give_the_rows_of_a_sequential_parse(spark, tmp_path, small_splits, seed):
+    chance = random.Random(seed)
+    texts = {f"part{n}.csv": made(chance, chance.choice([0, 3, 60]), chance.choice(["\n", "\r\n"])) for n in range(3)}
+    if seed == 0:
+        texts["bom.csv"] = "﻿" + made(chance, 9, "\n")
+    if seed == 1:
+        texts["blank.csv"] = "\n \n" + made(chance, 9, "\n") + "\n\n"
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    paths = [str(tmp_path / name) for name in texts]
+    rows = read_text_columns(spark, paths, ["k", "one", "two"], multi_line=True)
+    found = rows.collect()
+    for name, text in texts.items():
+        mine = [(r.k, r.one or None, r.two or None) for r in found if r._file_name == name]
+        assert sorted(mine, key=lambda row: int(row[0])) == sequential(text), name
+    assert all(row._overflow is None for row in found)
+    assert never_closed(spark, paths) == set()
+
+
+def test_a_record_over_many_blocks_and_a_quote_never_closed(spark, tmp_path, small_splits):
+    long = '"' + "line with, commas\n" * 200 + '"'
+    (tmp_path / "long.csv").write_text(f"k,v\n1,{long}\n2,b\n3,5\" pipe\n4,\"x\"\n")
+    (tmp_path / "open.csv").write_text("k,v\n1,a\n2,\"b\n3,c\n" + "4,d\n" * 50)
+    paths = [str(tmp_path / "long.csv"), str(tmp_path / "open.csv")]
+    assert never_closed(spark, paths) == {"open.csv"}
+    rows = {r.k: r.v for r in read_text_columns(spark, paths[:1], ["k", "v"], multi_line=True).collect()}
+    assert rows == {"1": "line with, commas\n" * 200, "2": "b", "3": '5" pipe', "4": "x"}
+
+
+def test_the_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text("k,v\n" + '1,"x\ny"\n' * 500)
+    rows = records_of(spark, [str(tmp_path / "a.csv")])
+    plan = rows._jdf.queryExecution().toString()
+    assert "wholetext" not in plan.lower() and "multiLine" not in plan
+    assert spark.read.text(str(tmp_path / "a.csv"), lineSep="\n").rdd.getNumPartitions() > 20
+    assert rows.count() == 500
+
+
+def test_only_lines_of_long_records_are_gathered(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text("k,v\n" + '1,"x\ny"\n2,z\n' * 30)
+    found = sorted(row.record for row in records_of(spark, [str(tmp_path / "a.csv")]).collect())
+    assert found == sorted(['1,"x\ny"'] * 30 + ["2,z"] * 30)

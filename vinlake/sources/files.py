@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from vinlake.fixed_values import LANDING_GLOB, LANDING_NAME
+from vinlake.sources.csv_records import records_of
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
@@ -43,9 +44,17 @@ def latest_file(files: DataFrame) -> tuple[str, str]:
 
 
 def read_text_columns(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> DataFrame:
-    """CSV files that share a header, every column text; ``_overflow`` has what exceeds the header."""
+    """CSV files that share a header, every column text; ``_overflow`` has what exceeds the header, ``_file_name`` the file.
+
+    Lines are records, or, where quoted values hold line breaks, are put together to records. Files are split either way.
+    """
     schema = StructType([StructField(name, StringType()) for name in [*names, "_overflow"]])
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(paths)
+    if not multi_line:
+        rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
+        return rows.select("*", F.col("_metadata.file_name").alias("_file_name"))
+    options = {**CSV_OPTIONS, "header": "false", "multiLine": "true"}
+    parsed = F.from_csv("record", schema.toDDL(), options).alias("_row")
+    return records_of(spark, paths).select(parsed, F.col("source_file").alias("_file_name")).select("_row.*", "_file_name")
 
 
 def with_load_metadata(rows: DataFrame, ingestion_date: date | str | None = None, **origin: str) -> DataFrame:

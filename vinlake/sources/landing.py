@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vinlake.fixed_values import LANDING_PIPELINE
 from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title_words
 from vinlake.schemas import AUDIT_LOG, LANDED_ADDRESSES, RAW_CUSTOMER_ADDRESSES
+from vinlake.sources.csv_records import left_open, never_closed
 from vinlake.sources.files import list_files, read_text_columns, well_named
 from vinlake.sources.tables import empty_table, replace_partitions
 
@@ -69,9 +70,6 @@ def clean_addresses(rows: DataFrame) -> DataFrame:
     return rows.withColumns({**columns, "loaded_at": F.current_timestamp()})
 
 
-# A field is quoted if a quote is its first character; any other quote is text.
-QUOTED_FIELD = r'(?<![^,\r\n])"(?:[^"]++|"")*+"'
-OPENING_QUOTE = r'(?<![^,\r\n])"'
 HEADER_LENGTH = 65_536  # characters; no longer first line is taken for a header, nor sent to the driver
 
 
@@ -82,23 +80,11 @@ def _header_error(header: tuple[str, ...], known: Sequence[str] | None) -> str |
     return None if len(set(header)) == len(header) else "repeated column"
 
 
-def _left_open(text: Column) -> Column:
-    """Whether a quoted field begins in the text and does not end in it."""
-    return F.regexp_replace(text, QUOTED_FIELD, "").rlike(OPENING_QUOTE)
-
-
-def _never_closed(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Names of files whose last quoted field has no end. Each is read as one text, as its rows have to be."""
-    whole = spark.read.text(list(paths), wholetext=True)
-    open_ones = whole.where(_left_open(F.col("value"))).select(F.col("_metadata.file_name").alias("name"))
-    return {row.name for row in open_ones.collect()}
-
-
 def inspect(spark: SparkSession, paths: Sequence[str], known: Sequence[str] | None = EXPECTED) -> list[Arrival]:
     """Header and health of each file, from one pass over their lines.
 
     Headers are split on the executors, and only those of a sane length reach the driver. Files in
-    which a quoted field goes on over a line break are looked at once more, as a whole.
+    which a quoted field goes on over a line break are looked at once more, block by block.
     """
     line = F.col("value")
     number = F.monotonically_increasing_id()  # grows along the lines of a file's first block
@@ -115,14 +101,14 @@ def inspect(spark: SparkSession, paths: Sequence[str], known: Sequence[str] | No
         .groupBy("name")
         .agg(
             F.min(F.when(first_lines, F.struct("number", short.alias("value")))).alias("first"),
-            F.max(_left_open(line)).alias("open_lines"),
+            F.max(left_open(line)).alias("open_lines"),
             F.min(F.is_valid_utf8(line)).alias("is_text"),
         )
         .select("name", F.col("first").isNotNull().alias("has_first"), names.alias("header"), "open_lines", "is_text")
     )
     found = {row.name: row for row in seen.collect()}
     across = [path for path in paths if (row := found.get(path.rsplit("/", 1)[-1])) and row.is_text and row.open_lines]
-    unclosed = _never_closed(spark, across) if across else set()
+    unclosed = never_closed(spark, across) if across else set()
     arrivals = []
     for path in paths:
         name = path.rsplit("/", 1)[-1]
@@ -150,7 +136,7 @@ def read_arrivals(spark: SparkSession, arrivals: Sequence[Arrival]) -> DataFrame
     for (header, multi_line), paths in alike.items():
         rows = read_text_columns(spark, paths, list(header), multi_line)
         columns = [F.col(name) if name in header else F.lit(None).cast("string").alias(name) for name in EXPECTED]
-        frames.append(rows.select(*columns, "_overflow", F.col("_metadata.file_name").alias("source_file")))
+        frames.append(rows.select(*columns, "_overflow", F.col("_file_name").alias("source_file")))
     return reduce(DataFrame.unionByName, frames)
 
 
