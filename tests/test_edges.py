@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from test_seed import ADDRESSES, CUSTOMERS, SALES, TICKETS, make_models
 from vinlake.functions import blank_to_null, mixed_date, mixed_timestamp, price_class, strip_space, title_words
-from vinlake.operators import first_per_key
+from vinlake.operators import first_per_key, left_join_splittable
 from vinlake.operators.quality import failures_of, offending
 from vinlake.plans import checks, core
 from vinlake.plans.staging import SALE_KEYS, SALE_ORDER, cleaned_sales, stg_sales
@@ -285,3 +285,12 @@ def test_first_per_key_keeps_columns(spark):
     cleaned = cleaned_sales(sales)
     first = first_per_key(cleaned, list(SALE_KEYS), SALE_ORDER, rows_as="n")
     assert first.columns == [*cleaned.columns, "n"] and {r.n for r in first.collect() if r.model == "VELOS"} == {2}
+
+
+def test_splittable_join_beside_columns_of_any_name(spark):
+    left = spark.createDataFrame([(1, "a", "b"), (2, "c", "d"), (None, "e", "f")], "k int, _right_key string, _RIGHT_HASH string")
+    right = spark.createDataFrame([(1, "x")], "k int, _right_key_ string")
+    found = left_join_splittable(left, right, "k")
+    assert found.columns == ["k", "_right_key", "_RIGHT_HASH", "_right_key_"]
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "a", "b", "x"), (2, "c", "d", None), (None, "e", "f", None)]
+    assert [r._right_key for r in left_join_splittable(left, right, "k", "left_semi").collect()] == ["a"]
