@@ -8,6 +8,7 @@ import pytest
 from brute_force import plain_components
 from test_pii import plain as plain_spans
 from test_simhash import plain_fingerprint, plain_links
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vinlake.llm import mixing, toxicity
@@ -91,3 +92,23 @@ def test_null_empty_repeated_and_further_columns(spark, folder):
                 kept = sorted((r.doc_id or 0, r.text or "") for r in now.collect())
                 assert kept == ([(10**6, "same text here"), (10**6 + 1, ""), (10**6 + 2, rows[-1][1])] if start is docs else [])
         assert now.count() == 0 or start is docs
+
+
+CLASHING = ["row", "place", "spans", "chance", "facts", "size", "text_", "_source", "_other", "_llm_row", "_llm_chance", "_llm_facts", "_llm_turn"]
+CLASHING += ["_pii_spans", "_spans", "_candidates", "_right_key", "_right_hash", "fp", "key", "component_id", "col", "label", "toxic", "target", "times"]
+
+
+def test_no_name_of_a_further_column_clashes(spark, folder):
+    rows = [(10**6, "mail a@b.co or call 1.2.3.4 today", "en", "a", 33), (10**6 + 1, "another text with words", None, "b", 23)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.concat(F.lit(f"{name} of "), F.col("doc_id")).alias(name) for name in CLASHING])
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, folder)
+        assert now.columns == docs.columns, name
+        found = now.collect()
+        assert {r.doc_id for r in found} <= {10**6, 10**6 + 1} and found, name
+        assert all(r[column] == f"{column} of {r.doc_id}" for r in found for column in CLASHING), name
+        if name == "pii":
+            assert {r.text for r in found} == {"mail [EMAIL] or call [IP] today", "another text with words"}
+    assert corpus_pipeline.STAGES[-1][1](spark, now, folder).columns == ["doc_id", "source", "ids", "n_tokens"]

@@ -125,12 +125,11 @@ def repeated(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFra
     sized = docs.select("source", size_of(F.col("text")).alias("size"), chance.alias("chance"))
     facts = _plan(stored(sized, "sizes"), most)
     mine = ["source_size", "target", "whole", "want", "coarse", "fine"]
-    rows = docs.withColumn("_llm_chance", chance)
-    spread = _spread(facts.select("source", F.struct(*mine).alias("_llm_facts")))
-    same = F.col("source").eqNullSafe(F.col("_source")) & (_slice(F.col("_llm_chance")) == F.col("_other"))
-    joined = rows.join(spread, same, "left")
-    times = _times(lambda name: F.col("_llm_chance") if name == "chance" else F.col("_llm_facts")[name])
-    return joined.withColumn("_llm_turn", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+    # The row travels whole in one column, so names of its columns cannot clash with those used here.
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("source"), chance.alias("chance"))
+    joined = _with_facts(rows, facts.select("source", F.struct(*mine).alias("facts")))
+    times = _times(lambda name: F.col("chance") if name == "chance" else F.col("facts")[name])
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select("row.*")
 
 
 def _plan(sized: DataFrame, most: float) -> DataFrame:

@@ -285,8 +285,9 @@ def mask(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     Overlapping spans are replaced together under the kind of the first. All columns stay as they are but text.
     """
-    name = "_pii_spans"
-    found = with_spans(docs, model or fit(docs), name)
+    # The row travels whole in one column, so names of its columns cannot clash with those used here.
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    found, name = with_spans(rows, model or fit(docs), "spans"), "spans"
     text, kinds = F.col("text"), F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
     ordered = F.array_sort(F.transform(name, lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
@@ -298,4 +299,5 @@ def mask(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
     masked = F.aggregate(ordered, start, add, lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size(name) > 0, masked).otherwise(text)).select(*docs.columns)
+    changed = F.when(F.size(name) > 0, masked).otherwise(text)
+    return found.select(F.col("row").withField("text", changed).alias("row")).select("row.*")
