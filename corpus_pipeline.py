@@ -1,7 +1,7 @@
 """The corpus pipeline: operators in a row, each working on all that the one before it kept.
 
 Every stage takes and gives documents (doc_id, text, lang, source, n_chars, and any further columns), but for
-the last, which gives tokens. Columns of a stage's own have names that begin with ``_llm_``.
+the last, which gives tokens.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +32,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows are numbered, so that repeated and NULL ids leave exactly one row of a group as well.
     """
-    row = F.struct(F.col("doc_id").isNull(), "doc_id", F.monotonically_increasing_id())
-    numbered = stored(docs.withColumn("_llm_row", row), "numbered")
-    groups = simhash.near_duplicates(numbered, "_llm_row")
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_llm_row"))
-    return left_join_splittable(numbered, kept, "_llm_row", "left_semi").select(*docs.columns)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.monotonically_increasing_id())
+    # The row travels whole in one column, so names of its columns cannot clash with those used here.
+    numbered = stored(docs.select(place.alias("place"), F.struct("*").alias("row")), "numbered")
+    groups = simhash.near_duplicates(numbered, "place", "row.text")
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("place"))
+    return left_join_splittable(numbered, kept, "place", "left_semi").select("row.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
