@@ -1,4 +1,4 @@
-"""The jobs, for ``spark-submit``: land, stream, load-addresses, load-table, check and build.
+"""The jobs, for ``spark-submit``: land, stream, load-addresses, load-table, check, build and retire.
 
     spark-submit --py-files vinlake.zip vinlake/jobs.py land --drop DIR --landing DIR --audit DIR [--date 20260301]
     spark-submit --py-files vinlake.zip vinlake/jobs.py build --raw DIR --warehouse DIR [--as-of 2026-03-01] [--marts marts]
@@ -21,6 +21,7 @@ from vinlake.sources.jdbc import read_table_by_number_key, read_table_by_text_ke
 from vinlake.sources.landing import land_addresses
 from vinlake.sources.raw_load import load_latest_addresses, load_source_table
 from vinlake.sources.tables import read_raw
+from vinlake.sources.versions import IN_THE_MAKING, KEPT, retire
 from vinlake.streaming.address_drop import stream_addresses, stream_once
 
 # Key of each source table, and how to split a read by it.
@@ -79,6 +80,12 @@ def _build(spark: SparkSession, args: argparse.Namespace) -> None:
             print(row.check_name, row.failures)
 
 
+def _retire(spark: SparkSession, args: argparse.Namespace) -> None:
+    folder = Schemas(args.warehouse, args.default, args.marts).marts_folder
+    for run in retire(spark, folder, args.keep, args.age_hours * 3600):
+        print(run)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="vinlake")
     jobs = top.add_subparsers(required=True)
@@ -100,6 +107,9 @@ def parser() -> argparse.ArgumentParser:
     table.add_argument("--parts", type=int, default=16)
     check = job("check", _check, "raw", "warehouse", as_of=None, work=None, default="warehouse", marts="marts")
     check.add_argument("--layer", required=True, choices=["staging", "intermediate", "marts"])
+    old = job("retire", _retire, "warehouse", default="warehouse", marts="marts")
+    old.add_argument("--keep", type=int, default=KEPT)
+    old.add_argument("--age-hours", type=float, default=IN_THE_MAKING / 3600)
     job("build", _build, "raw", "warehouse", as_of=None, work=None, default="warehouse", marts="marts")
     return top
 

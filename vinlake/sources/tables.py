@@ -1,11 +1,14 @@
 """Writing and reading tables."""
 
-from pyspark.errors import AnalysisException
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vinlake.schemas import RAW_TABLES
+from vinlake.session import remove_folder
+from vinlake.sources.versions import commit, latest, swap
 
 
 ROW_PLACE = StructType([StructField("file", LongType()), StructField("row", LongType())])
@@ -22,9 +25,19 @@ def schema_for(custom: str | None, default: str) -> str:
 
 
 def replace_files(rows: DataFrame, path: str) -> int:
-    """Replace a Parquet table and return its number of rows, read from the file footers."""
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
+    """Replace a Parquet table and return its number of rows, read from the file footers.
+
+    The new table is written beside the old one and takes its place when it is complete: a load that fails changes nothing.
+    """
+    spark, (folder, name) = rows.sparkSession, path.rstrip("/").rsplit("/", 1)
+    new = f"{folder}/.{name}-new-{uuid4().hex}"
+    try:
+        rows.write.parquet(new)
+    except BaseException:
+        remove_folder(spark, new)
+        raise
+    swap(spark, new, path)
+    return spark.read.schema(rows.schema).parquet(path).count()
 
 
 def replace_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
@@ -55,25 +68,18 @@ def as_table(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def publish(spark: SparkSession, folder: str, run: str) -> None:
-    """Make a finished run the one that readers of the folder see.
+def publish(spark: SparkSession, folder: str, run: str) -> int:
+    """Make a finished run the one that readers of the folder see, and return its version.
 
-    The log of publications only grows, by one small file that appears when it is complete. So readers see the
-    earlier run or the new one, and a run that dies before this point changes nothing for them.
+    Readers see the earlier run or the new one, and a run that dies before this point changes nothing for them. Of two
+    builds that end at once both are published, one after the other.
     """
-    row = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
-    row.coalesce(1).write.mode("append").parquet(f"{folder}/_published")
+    return commit(spark, folder, run)
 
 
 def published(spark: SparkSession, folder: str) -> str | None:
     """The run that was published last, None if there is none."""
-    try:
-        log = spark.read.schema("run STRING, published_at TIMESTAMP").parquet(f"{folder}/_published")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return log.agg(F.max_by("run", F.struct("published_at", "run"))).first()[0]
+    return latest(spark, folder)[1]
 
 
 def by_month(rows: DataFrame, day: str, month: str, *cluster_by: str) -> DataFrame:
