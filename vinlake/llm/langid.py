@@ -70,11 +70,35 @@ class Pieces:
                     ends.append(-1)
                 state = steps[state][column]
             ends[state] = place
-        self.steps = np.zeros((len(steps), len(letters) + 1), dtype=np.int32)
-        for state, following in enumerate(steps):
-            for column, to in following.items():
-                self.steps[state, column] = to
         self.ends = np.array(ends, dtype=np.int32)
+        # Few of all states and letters go together: steps are kept in a hash table, the next place free where two meet.
+        self.width = len(letters) + 1
+        links = [(state * self.width + column, to) for state, following in enumerate(steps) for column, to in following.items()]
+        self.bits = max(4, (4 * len(links)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.targets = np.zeros(1 << self.bits, dtype=np.int32)
+        for (key, to), place in zip(links, self._places(np.array([key for key, _ in links], np.int64)).tolist(), strict=True):
+            while self.keys[place] >= 0:
+                place = (place + 1) % len(self.keys)
+            self.keys[place], self.targets[place] = key, to
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, states: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """The states that letters lead to, 0 where no piece goes on."""
+        keys = states.astype(np.int64) * self.width + columns
+        places = self._places(keys)
+        there = self.keys[places]
+        out = np.where(there == keys, self.targets[places], 0)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            places[left] = (places[left] + 1) % len(self.keys)
+            there = self.keys[places[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.targets[places[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
 
     def columns(self, words: list[str]) -> np.ndarray:
         """Table columns of the letters of words of one length, their beginning marked."""
@@ -89,7 +113,7 @@ class Pieces:
         for begin in range(size):
             alive, state = np.arange(rows), np.ones(rows, dtype=np.int32)
             for length in range(1, min(self.longest, size - begin) + 1):
-                state = self.steps[state, columns[alive, begin + length - 1]]
+                state = self.step(state, columns[alive, begin + length - 1])
                 on = np.flatnonzero(state)
                 if len(on) < len(alive):
                     alive, state = alive[on], state[on]
@@ -133,11 +157,12 @@ def _long_log_chances(word: str, pieces: Pieces, logs: np.ndarray) -> np.ndarray
     unknown = len(pieces.number)
     sums = np.full((keep, logs.shape[1]), -np.inf)  # beginnings of the word, by their length modulo keep
     sums[0] = 0.0
+    links = dict(zip(pieces.keys.tolist(), pieces.targets.tolist(), strict=True))
     for begin in range(len(columns)):
         here, state = sums[begin % keep].copy(), 1
         sums[begin % keep] = -np.inf
         for length, column in enumerate(columns[begin : begin + pieces.longest].tolist(), 1):
-            state = int(pieces.steps[state, column])
+            state = links.get(state * pieces.width + column, 0)
             piece = int(pieces.ends[state]) if state else -1
             if length == 1 and piece < 0:
                 piece = unknown
