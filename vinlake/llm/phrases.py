@@ -13,11 +13,13 @@ Nodes that pass all their flow from one edge to one other are *unary*; paths of
 occurs only inside the longer one, so no candidate remains within a path but its edges.
 """
 
+import gc
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,13 +30,12 @@ LONGEST = 3  # words of an edge
 LEAST = 10  # occurrences of a candidate
 SHARE = 50  # hundredths of its occurrences in a longer candidate that drop a candidate
 TOP = 2_000  # candidates of a language that are returned
-HELD = 400_000  # different edges that a task adds up before it passes them on
+HELD = 300_000  # different edges that a task adds up before it passes them on
 HEAVY = 2_000  # a word with more than one of so many sampled words is dealt out by its following words
 SALTS = 64
 SAMPLE = 20_000  # documents, about, that the heavy words are taken from
 SEED = 13
 UNKNOWN = "und"
-KNOWN = 200_000  # different words that a task holds one copy of
 # Lower-case A-Z, a line feed for what ends a piece, a space for what ends a word.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 
@@ -55,16 +56,6 @@ def edges_of(words: list[bytes], longest: int) -> Iterator[tuple[bytes, ...]]:
     return zip(*[islice(filled, begin, begin + len(words)) for begin in range(longest)], strict=True)
 
 
-class _Copies(dict):
-    """One copy of each word."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        self[word] = word
-        return word
-
-
 def heavy_words(docs: DataFrame, share: float) -> set[tuple[str, bytes]]:
     """Languages and words that make up more than 1 in ``HEAVY`` words of a sample: fewer than ``HEAVY`` altogether."""
 
@@ -106,42 +97,39 @@ def edges(docs: DataFrame, longest: int, heavy: set) -> DataFrame:
     """
 
     def spell(lang: str, counted: Counter) -> pa.RecordBatch:
-        # Edges with the same first word follow each other, which shuffle files compress well.
-        follow: dict[bytes, list] = defaultdict(list)
-        for edge, n in counted.items():
-            follow[edge[0]].append((edge, n))
-        behind, first, rest, numbers = b"\n" + lang.encode(), [], [], []
-        for word, many in follow.items():
-            if (lang, word) in heavy:
-                first += [word + b"\n" + _salt(lang, edge, heavy) + behind for edge, _ in many]
-            else:
-                first += [word + b"\n" + behind] * len(many)
-            rest += [b" ".join(edge[1:] if edge[-1] else edge[1 : edge.index(b"")]) if edge[0] else b"" for edge, _ in many]
-            numbers += [n for _, n in many]
+        hot, behind = {word for one, word in heavy if one == lang}, b"\n" + lang.encode()
+        first = [edge[0] + b"\n" + (_salt(lang, edge, heavy) if edge[0] in hot else b"") + behind for edge in counted]
+        rest = [b" ".join(edge[1:]).rstrip(b" ") for edge in counted]
         arrays = [pa.array(first, pa.binary()).cast(pa.string()), pa.array(rest, pa.binary()).cast(pa.string())]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(numbers, pa.int64())], names=["first", "rest", "n"])
+        batch = pa.RecordBatch.from_arrays([*arrays, pa.array(list(counted.values()), pa.int64())], names=["first", "rest", "n"])
+        # Edges with the same first word follow each other, which shuffle files compress well.
+        return batch.take(pa.array(np.argsort(np.fromiter((hash(edge[0]) for edge in counted), np.int64, len(counted)))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
-        words_of, copy = Counter(), _Copies().__getitem__
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["bytes"], strict=True):
-                mine = held[lang]
-                for words in pieces_of(text.as_py()):
-                    words_of[lang] += len(words)
-                    mine.update(edges_of(list(map(copy, words)), longest))
-                    if len(mine) > HELD:
-                        yield spell(lang, mine)
-                        mine.clear()
-            if sum(map(len, held.values())) > HELD:
-                for lang, mine in held.items():
-                    if mine:
-                        yield spell(lang, mine)
-                        mine.clear()
-        for lang, mine in held.items():
-            if words_of[lang]:
-                mine[(b"",) * longest] = words_of[lang]
-                yield spell(lang, mine)
+        gc.disable()  # millions of small tuples, none in a circle
+        try:
+            held: dict[str, Counter] = defaultdict(Counter)
+            words_of: Counter = Counter()
+            for batch in batches:
+                for lang, text in zip(batch["lang"].to_pylist(), batch["bytes"], strict=True):
+                    mine = held[lang]
+                    for words in pieces_of(text.as_py()):
+                        words_of[lang] += len(words)
+                        mine.update(edges_of(words, longest))
+                        if len(mine) > HELD:
+                            yield spell(lang, mine)
+                            mine.clear()
+                if sum(map(len, held.values())) > HELD:
+                    for lang, mine in held.items():
+                        if mine:
+                            yield spell(lang, mine)
+                            mine.clear()
+            for lang, mine in held.items():
+                if words_of[lang]:
+                    mine[(b"",) * longest] = words_of[lang]
+                    yield spell(lang, mine)
+        finally:
+            gc.enable()
 
     return docs.mapInArrow(count, "first string, rest string, n long")
 
