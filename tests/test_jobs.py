@@ -13,6 +13,7 @@ from vinlake.plans import warehouse
 from vinlake.plans.warehouse import GateFailed, Schemas, stored_marts
 from vinlake.schemas import RAW_TABLES
 from vinlake.session import work_folder
+from vinlake.sources.landing import read_landed
 from vinlake.sources.raw_load import load_source_table
 from vinlake.sources.tables import published
 
@@ -58,7 +59,7 @@ def test_from_drop_to_reports(spark, tmp_path, capsys):
 
     main(["land", "--drop", at["drop"], "--landing", at["landing"], "--audit", at["audit"], "--date", "20260301"])
     main(["stream", "--drop", at["drop"], "--landing", at["landing"], "--audit", at["audit"], "--checkpoint", at["checkpoint"], "--once"])
-    landed = spark.read.parquet(at["landing"]).collect()
+    landed = read_landed(spark, at["landing"]).collect()
     assert [(row.id, row.city) for row in landed] == [(1, "Bekasi")]
 
 

@@ -125,7 +125,6 @@ def test_crash_between_rows_and_audit_loads_no_row_twice(spark, drop, monkeypatc
 def test_an_unreadable_file_fails_alone(spark, drop):
     fill(drop)
     missing = os.path.join(drop.folder, "customer_addresses_20250309.csv")
-    landing.make_tables(spark, drop.landing, drop.audit)
     present = [os.path.join(drop.folder, f"customer_addresses_{day}.csv") for day in OUTCOMES]
     landing.load_files(spark, [*present, missing], drop.landing, drop.audit)
     outcomes = drop.outcomes(spark)
@@ -250,7 +249,6 @@ def test_a_very_long_first_line_stays_off_the_driver(spark, drop):
 
 def test_errors_are_logged_whole_and_only_those_of_files(spark, drop, monkeypatch):
     path = _put(drop, "customer_addresses_20250301.csv", GOOD)
-    landing.make_tables(spark, drop.landing, drop.audit)
     calls = []
 
     def fail(message):

@@ -1,8 +1,8 @@
 """Landing of the daily address files, each loaded once, with an audit row per file.
 
-A file is taken whole or not at all. Landed rows lie under ``source_file=<name>`` and audit rows
-under ``pipeline=<name>/source_file=<name>``; both are written by replacing just these partitions.
-So a crash between the two writes, or a batch delivered twice, leads to the same tables.
+A file is taken whole or not at all. Landed rows and audit rows are two logs of upserts (``sources/merge_log.py``), keyed by
+file and by pipeline and file. So a crash between the two writes, or a batch delivered twice, leads to the same tables, and
+the number of folders grows with the logarithm of the loads, not with the files.
 """
 
 from collections import defaultdict
@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from vinlake.fixed_values import LANDING_PIPELINE
 from vinlake.functions import blank_to_null, mixed_timestamp, strip_space, title_words
 from vinlake.schemas import AUDIT_LOG, LANDED_ADDRESSES, RAW_CUSTOMER_ADDRESSES
+from vinlake.sources import merge_log
 from vinlake.sources.csv_records import left_open, never_closed
 from vinlake.sources.files import list_files, read_text_columns, well_named
-from vinlake.sources.tables import empty_table, replace_partitions
 
 FILES_PER_LOAD = 1000  # bounds what one load keeps per file on the driver: name, header, counts
 EXPECTED = RAW_CUSTOMER_ADDRESSES.names
+LANDED_KEY, AUDIT_KEY = ("source_file",), ("pipeline", "source_file")
 NUMBERS = ("id", "customer_id")  # whole numbers in the landing table; a file with any other fails
 
 
@@ -40,12 +41,12 @@ class Arrival:
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The audit log: one row per pipeline and file, its latest outcome."""
-    return spark.read.schema(AUDIT_LOG).parquet(path)
+    return merge_log.read(spark, path, AUDIT_LOG, *AUDIT_KEY)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """All landed addresses."""
-    return spark.read.schema(LANDED_ADDRESSES).parquet(path)
+    """All landed addresses, of each file those of its last load."""
+    return merge_log.read(spark, path, LANDED_ADDRESSES, *LANDED_KEY)
 
 
 def not_loaded(files: DataFrame, audit: DataFrame) -> DataFrame:
@@ -155,7 +156,7 @@ def _count_rows(spark: SparkSession, arrivals: Sequence[Arrival]) -> dict[str, R
 def _write_audit(spark: SparkSession, path: str, outcomes: list[tuple[str, str, int, str | None]]) -> None:
     rows = spark.createDataFrame(outcomes, "source_file STRING, status STRING, rows_loaded BIGINT, error_message STRING")
     stamped = rows.withColumns({"loaded_at": F.current_timestamp(), "pipeline": F.lit(LANDING_PIPELINE)})
-    replace_partitions(stamped.coalesce(1), path, "pipeline", "source_file")
+    merge_log.upsert(stamped.select(*AUDIT_LOG.names).coalesce(1), stamped.select(*AUDIT_KEY), path)
 
 
 def _load(spark: SparkSession, paths: Sequence[str], landing: str, audit: str) -> None:
@@ -175,7 +176,8 @@ def _load(spark: SparkSession, paths: Sequence[str], landing: str, audit: str) -
             outcomes.append((arrival.name, "success", seen.n_rows if seen else 0, None))
     if good:
         rows = clean_addresses(read_arrivals(spark, good)).select(*LANDED_ADDRESSES.names)
-        replace_partitions(rows, landing, "source_file")
+        names = spark.createDataFrame([(arrival.name,) for arrival in good], "source_file STRING")
+        merge_log.upsert(rows, names, landing)
     _write_audit(spark, audit, outcomes)
 
 
@@ -207,10 +209,11 @@ def load_files(spark: SparkSession, paths: Sequence[str], landing: str, audit: s
         load_files(spark, paths[middle:], landing, audit, again)
 
 
-def make_tables(spark: SparkSession, landing: str, audit: str) -> None:
-    """Make sure that the landing table and the audit log exist."""
-    empty_table(spark, landing, LANDED_ADDRESSES, "source_file")
-    empty_table(spark, audit, AUDIT_LOG, "pipeline", "source_file")
+def tidy(spark: SparkSession, landing: str, audit: str) -> None:
+    """Merge what small loads left behind, and remove what was merged long enough ago."""
+    for path, schema, key in ((landing, LANDED_ADDRESSES, LANDED_KEY), (audit, AUDIT_LOG, AUDIT_KEY)):
+        if list(merge_log.compact(spark, path, schema, *key)):
+            merge_log.retire(spark, path)
 
 
 def pending_paths(files: DataFrame, audit: DataFrame, after: str = "") -> list[str]:
@@ -221,8 +224,8 @@ def pending_paths(files: DataFrame, audit: DataFrame, after: str = "") -> list[s
 
 def land_addresses(spark: SparkSession, folder: str, landing: str, audit: str, day: str = "*") -> None:
     """Load the files of a day, or all, that were not loaded before."""
-    make_tables(spark, landing, audit)
     files, after = list_files(spark, folder, day), ""
     while paths := pending_paths(files, read_audit(spark, audit), after):
         load_files(spark, paths, landing, audit)
+        tidy(spark, landing, audit)
         after = paths[-1].rsplit("/", 1)[-1]

@@ -121,8 +121,3 @@ def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
     declared = RAW_TABLES[name]
     numbered = StructType([*declared.fields, StructField("_row_id", ROW_PLACE)])
     return stored.select(*declared.names, place.alias("_row_id")).to(numbered)
-
-
-def empty_table(spark: SparkSession, path: str, schema: StructType, *partitions: str) -> None:
-    """Make sure that a table exists, without changing its rows."""
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partitions).parquet(path)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from vinlake.fixed_values import LANDING_GLOB
-from vinlake.sources.landing import FILES_PER_LOAD, land_addresses, load_files, make_tables, pending_paths, read_audit
+from vinlake.sources.landing import FILES_PER_LOAD, land_addresses, load_files, pending_paths, read_audit, tidy
 
 # Files are never too old: their modification times say nothing about when they arrive.
 FILE_AGE = "36500d"
@@ -33,12 +33,12 @@ def stream_addresses(
     failed are left to the next batch run of ``land_addresses``, for a stream delivers a file once;
     so are empty files, which it does not deliver: see ``stream_once``.
     """
-    make_tables(spark, landing, audit)
 
     def load(batch: DataFrame, _: int) -> None:
         after = ""
         while paths := pending_paths(batch, read_audit(batch.sparkSession, audit), after):
             load_files(batch.sparkSession, paths, landing, audit)
+            tidy(batch.sparkSession, landing, audit)
             after = paths[-1].rsplit("/", 1)[-1]
 
     writer = arriving_files(spark, folder).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
