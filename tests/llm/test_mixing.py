@@ -62,3 +62,16 @@ def test_fractional_part_is_met_for_many_documents(spark):
     sums = mixing.mix(docs).groupBy("source", "target").agg({"taken": "sum"}).collect()
     for source, target, taken in sums:
         assert abs(taken - target) <= 7 + 0.001 * target, source
+
+
+def test_small_documents_settle_what_large_ones_leave(spark):
+    """Sources of ten documents of 1,000 words and 990 small ones, enough to settle with, end within a word of their targets."""
+    size = "if(id % 400 < 4, 1000, cast(1 + id % 9 as int))"
+    docs = spark.range(4_000).selectExpr("id as doc_id", f"repeat('w ', {size}) as text", "concat('s', id % 4) as source")
+    sums = mixing.mix(docs).groupBy("source", "target").agg({"taken": "sum"}).collect()
+    assert len(sums) == 4
+    for source, target, taken in sums:
+        assert abs(taken - target) <= 1, source
+    times = mixing.mix(docs).groupBy("doc_id").agg({"times": "max"}).collect()
+    rows = mixing.repeated(docs).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in rows} == {doc_id: n for doc_id, n in times if n}

@@ -5,9 +5,11 @@ words. Sources above that are clamped there, and what they leave is shared again
 others until none is above: the water level of a set of capped vessels.
 
 A source's epochs are a whole and a fractional part. Every document is taken the whole number of times,
-and once more if its seeded number, uniform from 0 to 1, is below the source's *threshold*. The threshold
-is read off the cumulative size of the source's documents by that number, so the fractional part is
-met up to one document or 1/65536 of the source, not only in the mean.
+and once more if its seeded number, uniform from 0 to 1, is below the *threshold* of its source and size class
+(sizes of as many binary digits). Each class is to give the fractional part of its own words, the largest
+first. A threshold never passes what is wanted; what a class leaves goes to the next smaller one, so that small
+documents settle what large ones cannot meet. At the end a source misses its target by less than half the
+smallest document, or documents within 1/65536, that could still be added.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +22,7 @@ from vinlake.operators.hot_groups import SLICES
 EPOCHS = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 SEED = 7
-BUCKETS = 256  # of the seeded numbers, and again within the bucket where the threshold lies
+BUCKETS = 256  # of the seeded numbers, and again within the buckets where the thresholds lie
 
 
 def size_of(text: Column) -> Column:
@@ -66,26 +68,57 @@ def _bucket(level: int) -> Column:
     return (F.floor(scaled) % BUCKETS).cast("int")
 
 
-def _crossing(sizes: DataFrame) -> DataFrame:
-    """Per source the bucket in which the cumulative size passes ``want``, and what is still wanted in it.
+def _size_class(size: Column) -> Column:
+    """Number of binary digits of a size."""
+    return F.length(F.bin(size))
 
-    ``sizes`` has source, want, bucket, mass: at most BUCKETS rows per source.
+
+def _masses(rows: DataFrame, level: int) -> DataFrame:
+    """``source, classes``: per size class, the largest first, its words by bucket and altogether.
+
+    At most BUCKETS numbers for each of at most 63 classes of a source, whatever the number of documents.
     """
-    parts = F.array_sort(F.collect_list(F.struct("bucket", "mass")))
-    start = F.struct(F.lit(-1).alias("bucket"), F.col("want").alias("want"), F.lit(0.0).alias("mass"))
-    found = F.aggregate(
-        "parts",
-        start,
-        lambda acc, part: F.when(
-            (acc["bucket"] < 0) | (acc["want"] >= acc["mass"]),
-            F.struct(
-                part["bucket"].alias("bucket"),
-                F.when(acc["bucket"] < 0, acc["want"]).otherwise(acc["want"] - acc["mass"]).alias("want"),
-                part["mass"].cast("double").alias("mass"),
-            ),
-        ).otherwise(acc),
-    )
-    return sizes.groupBy("source").agg(F.first("want").alias("want"), parts.alias("parts")).select("source", found.alias("at"))
+    cells = rows.groupBy("source", "size_class", _bucket(level).alias("bucket")).agg(F.sum("size").alias("mass"))
+    parts = F.array_sort(F.collect_list(F.struct("bucket", "mass"))).alias("parts")
+    by_class = cells.groupBy("source", "size_class").agg(parts, F.sum("mass").alias("mass"))
+    ordered = F.sort_array(F.collect_list(F.struct("size_class", "mass", "parts")), asc=False)
+    return by_class.groupBy("source").agg(ordered.alias("classes"))
+
+
+STOPS = "array<struct<size_class:int,bucket:int,mass:bigint>>"
+
+
+def _stops(want: Column, share: Column) -> Column:
+    """``want, stops``: buckets are taken while they fit, class by class, and each class stops at the first that does not.
+
+    A class begins with what the classes before have left of ``want`` and with ``share`` of its own words.
+    A class without a stop is taken whole.
+    """
+
+    def one_bucket(acc: Column, part: Column) -> Column:
+        fits = acc["stop"].isNull() & (part["mass"] <= acc["want"])
+        stop = F.when(acc["stop"].isNull() & (part["mass"] > acc["want"]), part).otherwise(acc["stop"])
+        return F.struct(F.when(fits, acc["want"] - part["mass"]).otherwise(acc["want"]).alias("want"), stop.alias("stop"))
+
+    def one_class(acc: Column, own: Column) -> Column:
+        start = F.struct(
+            (acc["want"] + share * own["mass"]).alias("want"),
+            F.lit(None).cast("struct<bucket:int,mass:bigint>").alias("stop"),
+        )
+
+        def ended(end: Column) -> Column:
+            stop = F.struct(own["size_class"].alias("size_class"), end["stop"]["bucket"].alias("bucket"), end["stop"]["mass"].alias("mass"))
+            more = F.when(end["stop"].isNotNull(), F.array(stop)).otherwise(F.array().cast(STOPS))
+            return F.struct(end["want"].alias("want"), F.concat(acc["stops"], more).alias("stops"))
+
+        return F.transform(F.array(F.aggregate(own["parts"], start, one_bucket)), ended)[0]
+
+    return F.aggregate("classes", F.struct(want.alias("want"), F.array().cast(STOPS).alias("stops")), one_class)
+
+
+def _by_class(stops: Column, value) -> Column:
+    """Map from size class to a value of its stop."""
+    return F.map_from_entries(F.transform(stops, lambda stop: F.struct(stop["size_class"], value(stop))))
 
 
 def _slice(chance: Column) -> Column:
@@ -122,42 +155,52 @@ def repeated(docs: DataFrame, most: float = EPOCHS, seed: int = SEED) -> DataFra
     """``docs`` with every row as often as the mix takes it. All columns stay; texts are not shuffled unless the
     table of sources is too large for Spark to broadcast."""
     chance = unit_hash(F.lit(seed), F.col("doc_id"), F.col("text"))
-    sized = docs.select("source", size_of(F.col("text")).alias("size"), chance.alias("chance"))
-    facts = _plan(stored(sized, "sizes"), most)
-    mine = ["source_size", "target", "whole", "want", "coarse", "fine"]
+    size = size_of(F.col("text"))
+    facts = _plan(stored(docs.select("source", size.alias("size"), chance.alias("chance")), "sizes"), most)
     # The row travels whole in one column, so names of its columns cannot clash with those used here.
-    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("source"), chance.alias("chance"))
-    joined = _with_facts(rows, facts.select("source", F.struct(*mine).alias("facts")))
-    times = _times(lambda name: F.col("chance") if name == "chance" else F.col("facts")[name])
-    return joined.select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("source"), size.alias("size"), chance.alias("chance"))
+    joined = _with_facts(rows, facts)
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), _times().cast("int")))).select("row.*")
 
 
 def _plan(sized: DataFrame, most: float) -> DataFrame:
-    """Per source its size, target, whole repetitions and where the fractional one ends, from ``source, size, chance``."""
+    """Per source its size, target, whole repetitions and ``steps``: per size class where the fractional one ends."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = stored(targets(stored(repeating_weights(sources), "sources"), most), "targets")
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("whole", F.floor(epochs)).withColumn("want", F.col("target") - F.col("whole") * F.col("source_size"))
-
-    first = sized.groupBy("source", _bucket(0).alias("bucket")).agg(F.sum("size").alias("mass"))
-    first = _with_plan(first, plan.select("source", "want"))
-    coarse = stored(_crossing(first).select("source", F.col("at.bucket").alias("coarse"), F.col("at.want").alias("rest")), "coarse")
-    within = _with_facts(sized, coarse).filter(_bucket(0) == F.col("coarse"))
-    second = within.groupBy("source", _bucket(1).alias("bucket")).agg(F.sum("size").alias("mass"), F.first("rest").alias("want"))
-    fine = _crossing(second).select(
-        "source",
-        # The bucket where it passes is taken if that leaves less than half of it too much.
-        (F.col("at.bucket") + (F.col("at.want") * 2 >= F.col("at.mass")).cast("int")).alias("fine"),
+    plan = plan.withColumn("whole", F.floor(epochs))
+    plan = plan.withColumn("share", F.when(F.col("source_size") > 0, epochs - F.col("whole")).otherwise(0.0))
+
+    classed = sized.filter("size > 0").withColumn("size_class", _size_class(F.col("size")))
+    first = _with_plan(_masses(classed, 0), plan.select("source", "share"))
+    found = first.select("source", _stops(F.lit(0.0), F.col("share")).alias("at"))
+    cells = _by_class(F.col("at.stops"), lambda stop: stop["bucket"])
+    coarse = stored(found.select("source", F.col("at.want").alias("rest"), cells.alias("coarse")), "coarse")
+
+    # Inside the buckets that did not fit: what is left is met as well as finer ones can.
+    within = _with_facts(classed, coarse).filter(_bucket(0) == F.try_element_at("coarse", F.col("size_class")))
+    second = _with_plan(_masses(within, 1), coarse.select("source", "rest", "coarse"))
+    met = second.select("source", "coarse", _stops(F.col("rest"), F.lit(0.0)).alias("at"))
+    least = F.array_min(F.transform("at.stops", lambda stop: F.struct(stop["mass"], stop["size_class"])))
+    one_more = F.col("at.want") * 2 >= least["mass"]
+    extra = lambda stop: (one_more & (stop["size_class"] == least["size_class"])).cast("int")
+    # A class whose finer buckets were all taken ends behind its coarse bucket.
+    whole_bucket = F.transform_values("coarse", lambda _, bucket: (bucket + 1) * BUCKETS)
+    inside = _by_class(
+        F.col("at.stops"),
+        lambda stop: F.try_element_at("coarse", stop["size_class"]) * BUCKETS + stop["bucket"] + extra(stop),
     )
-    facts = _with_plan(_with_plan(plan, coarse.select("source", "coarse")), fine)
-    return stored(facts, "facts")
+    steps = F.map_zip_with(whole_bucket, inside, lambda _, behind, at: F.coalesce(at, behind))
+    facts = _with_plan(plan, met.select("source", steps.alias("steps")))
+    return stored(facts.select("source", "source_size", "target", "whole", "share", "steps"), "facts")
 
 
-def _times(of=F.col) -> Column:
-    """How often a row is taken: the whole repetitions, and once more below the threshold."""
-    steps = F.coalesce(of("coarse") * BUCKETS + of("fine"), F.lit(0))
-    again = (F.floor(of("chance") * F.lit(float(BUCKETS**2))) < steps) & (of("want") > 0)
-    return F.coalesce(of("whole"), F.lit(0)) + F.coalesce(again.cast("bigint"), F.lit(0))
+def _times() -> Column:
+    """How often a row with ``size`` and ``chance`` is taken: the whole repetitions, and once more below the threshold."""
+    all_steps = F.lit(BUCKETS**2)
+    steps = F.coalesce(F.try_element_at("steps", _size_class(F.col("size"))), all_steps)
+    again = (F.floor(F.col("chance") * F.lit(float(BUCKETS**2))) < steps) & (F.col("share") > 0) & (F.col("size") > 0)
+    return F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(again.cast("bigint"), F.lit(0))
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
