@@ -8,6 +8,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from vinlake.schemas import RAW_TABLES
 from vinlake.session import remove_folder
+from vinlake.sources.clustering import clustered, cut_points
 from vinlake.sources.versions import commit, latest, swap
 
 
@@ -94,14 +95,22 @@ def by_month(rows: DataFrame, day: str, month: str, *cluster_by: str) -> DataFra
 
 
 def as_monthly_table(rows: DataFrame, path: str, day: str, cluster_by: list[str], key: str) -> DataFrame:
-    """Write a table partitioned by the month of ``day`` and clustered by the given columns to a new folder.
+    """Write a table partitioned by the month of ``day`` to a new folder, clustered by all given columns and the key alike.
 
-    The month column is named ``<day>_month``; readers filter on it to prune partitions.
+    The month column is named ``<day>_month``; readers filter on it to prune partitions. The rows are computed once and
+    kept beside the table until it is complete: cut points, ranges and the table itself are then taken from files.
     """
-    month = f"{day}_month"
-    laid_out = by_month(rows, day, month, *cluster_by, key)
-    laid_out.write.partitionBy(month).parquet(path)
-    return rows.sparkSession.read.schema(laid_out.schema).parquet(path)
+    spark, (folder, name), month = rows.sparkSession, path.rstrip("/").rsplit("/", 1), f"{day}_month"
+    dated = rows.withColumn(month, F.trunc(day, "month"))
+    beside = f"{folder}/.{name}-unordered-{uuid4().hex}"
+    try:
+        dated.write.parquet(beside)
+        kept = spark.read.schema(dated.schema).parquet(beside)
+        cuts = cut_points(kept, list(dict.fromkeys([*cluster_by, key])))
+        clustered(kept, month, cuts, key).write.partitionBy(month).parquet(path)
+    finally:
+        remove_folder(spark, beside)
+    return spark.read.schema(dated.schema).parquet(path)
 
 
 def days_between(rows: DataFrame, day: str, first: str, last: str) -> DataFrame:
