@@ -66,6 +66,18 @@ def test_copies_nulls_and_vectors_without_direction(spark):
     assert neighbours.near_duplicates(frame.limit(2)).count() == 2
 
 
+def test_each_length_is_searched_by_itself(spark):
+    """Vectors of two lengths, each with pairs, a group, copies and singles; extra columns named like inner ones."""
+    short, long = made(5, [1] * 20 + [2] * 5 + [12], 8), made(6, [1] * 8 + [2] * 3 + [3], 16)
+    long = [(i + 1000, vector) for i, vector in long] + [(2000, long[0][1])]
+    expected = plain(short) | plain(long)
+    rows = [(i, vector, i, "x", 0) for i, vector in [*short, *long, (3000, [1.0])]]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id long, unit string, size int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame).collect()}
+    assert found.pop(3000) == (0, 3000)
+    assert found == expected and found[2000][1] == 1000
+
+
 def test_dense_groups_that_touch(spark):
     chance, rows = np.random.default_rng(4), []
     for far in (0.0, 0.27, 1.5):  # the first two are linked across, at about 0.96

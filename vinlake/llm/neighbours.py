@@ -21,6 +21,7 @@ Lists of neighbours meet in chunks of at most about ``CHUNK``, so no hub or hot
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -297,24 +298,13 @@ def audit(counts: DataFrame, nodes: DataFrame, queries: int = QUERIES) -> float:
     return min((row.recall for row in means), default=1.0)
 
 
-def near_duplicates(embeddings: DataFrame) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every row of ``embeddings`` (vec_id, embedding).
-
-    Rows without a direction, and rows of another length than most, link with nothing. Equal vectors link
-    with each other. Rows with a NULL id take part; among copies the smallest known id stands for them.
-    Repeated rows count as copies. Other columns are not read. An empty table gives an empty result.
-    """
-    rows = stored(embeddings.select("vec_id", unit_bytes("embedding").alias("unit")), "vectors")
-    sized = rows.filter(F.col("unit").isNotNull()).groupBy(F.length("unit").alias("size")).agg(F.count("*").alias("n"))
-    usual = sized.orderBy(F.desc("n"), "size").first()
-    if usual is None:
-        return rows.select("vec_id", *_alone())
-    usable = F.col("unit").isNotNull() & (F.length("unit") == usual["size"])
-    grouped = rows.filter(usable).groupBy("unit").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+def _facts(rows: DataFrame, width: int) -> DataFrame:
+    """``id, least, copies, n`` of the vectors of ``width`` components that have copies or links."""
+    grouped = rows.groupBy("unit").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     single = F.pandas_udf(lambda units: units.map(lambda x: np.frombuffer(x, "<f8").astype("<f4").tobytes()), BinaryType())
     # A node is numbered by its vector, not by an id that may be NULL or repeat.
     nodes = stored(grouped.withColumns({"id": F.xxhash64("unit"), "single": single("unit")}), "nodes")
-    total, width = nodes.count(), usual["size"] // 8
+    total = nodes.count()
 
     graph = None
     for attempt in range(ATTEMPTS):
@@ -335,9 +325,27 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     facts = nodes.select("id", "first", "copies").join(facts, F.col("id") == F.col("_node"), "left").drop("_node")
     facts = facts.join(counts.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").drop("_id")
     facts = facts.filter((F.col("copies") > 1) | F.col("least").isNotNull())
-    facts = stored(facts.select("id", F.coalesce("least", "first").alias("least"), "copies", "n"), "facts")
-    keyed = rows.select("vec_id", F.when(usable, F.xxhash64("unit")).alias("id"))
-    joined = left_join_splittable(keyed, facts, "id")
+    return stored(facts.select("id", F.coalesce("least", "first").alias("least"), "copies", "n"), "facts")
+
+
+def near_duplicates(embeddings: DataFrame) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` of every row of ``embeddings`` (vec_id, embedding).
+
+    Rows without a direction link with nothing. Vectors of different lengths have no cosine and are never linked; each
+    length that occurs is searched by itself. Equal vectors link
+    with each other. Rows with a NULL id take part; among copies the smallest known id stands for them.
+    Repeated rows count as copies. Other columns are not read. An empty table gives an empty result.
+    """
+    unit = unit_bytes("embedding")
+    rows = stored(embeddings.select("vec_id", unit.alias("unit")).withColumn("size", F.length("unit")), "vectors")
+    sizes = sorted(row["size"] for row in rows.filter(F.col("size").isNotNull()).select("size").distinct().collect())
+    if not sizes:
+        return rows.select("vec_id", *_alone())
+    found = [_facts(rows.filter(F.col("size") == size), size // 8).withColumn("size", F.lit(size)) for size in sizes]
+    key = F.struct("size", "id")
+    facts = reduce(DataFrame.unionAll, found).select(key.alias("key"), "least", "copies", "n")
+    keyed = rows.withColumn("id", F.xxhash64("unit")).select("vec_id", F.when(F.col("size").isNotNull(), key).alias("key"))
+    joined = left_join_splittable(keyed, facts, "key")
     links = F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1
     component = F.coalesce("least", "vec_id")
     return joined.select("vec_id", *_alone(links, component))
