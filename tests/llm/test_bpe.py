@@ -68,3 +68,24 @@ def test_bytes_that_are_no_text_decode_to_replacement_characters(reference):
     ids = reference.encode("文", add_special_tokens=False).ids[:1]
     packed = np.array(ids, dtype="<u4").tobytes()
     assert bpe.tokenizer(PATH).decode(packed) == reference.decode(ids, skip_special_tokens=False)
+
+
+def test_a_full_memory_keeps_what_is_met_again(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 64)
+    own, spelled = bpe.Tokenizer(PATH), []
+    encode = own.automaton.encode
+    monkeypatch.setattr(own.automaton, "encode", lambda word: spelled.append(word) or encode(word))
+    text = "".join(f" often x{chr(97 + n % 26)}{chr(97 + n // 26)} often," for n in range(600))
+    ids = np.frombuffer(own.encode(text), dtype="<u4").tolist()
+    assert ids == reference.encode(text, add_special_tokens=False).ids
+    assert spelled.count(b" often") == 1 and len(own.known) <= 64 and len(own.older) <= 64
+
+
+def test_words_with_the_same_beginning_and_forgotten_beginnings(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "BEGINNINGS", 3)
+    own, chance = bpe.Tokenizer(PATH), random.Random(3)
+    beginnings = ["there", "ther", "the", "é文", "aaaaa", "'ll", "1234"]
+    words = [chance.choice(beginnings) + "".join(chance.choices("aeinrst文", k=chance.randint(0, 9))) for _ in range(3_000)]
+    for word in words:
+        assert np.frombuffer(own.encode(word), dtype="<u4").tolist() == reference.encode(word, add_special_tokens=False).ids, word
+    assert len(own.automaton.begun) <= 3

@@ -12,12 +12,14 @@ The copies are made on first use (copy on write): ``cut_at(s, t)`` follows a cop
 what it was copied from and compares the number of the merge at which the arc was cut there. After the
 last merge exactly one path spells any given word, and that path is its encoding. Each prefix of a word
 has exactly one such path too, so reading a word from left to right has one state per position: the
-only label ending there whose arc leaves the state at which the label begins. Labels ending at a byte are
+only label ending there whose arc leaves the state at which the label begins. Words that begin with the
+same bytes share these states, so they are kept for the beginnings met so far. Labels ending at a byte are
 found by a byte-driven table (a trie with links to the next shorter suffix); decoding writes the bytes
 that each arc stands for.
 """
 
 import json
+import re
 import struct
 from collections import deque
 from collections.abc import Iterator
@@ -40,7 +42,9 @@ SPLIT = (
 )
 NEVER = 1 << 40  # later than any merge
 UNBORN = -1
-REMEMBERED = 1 << 18  # chunks, and half as many words, whose encoding a Python worker keeps
+REMEMBERED = 3 << 16  # chunks and words whose encoding a Python worker keeps, and as many that it met before them
+BEGINNING = 5  # bytes of a word whose states are kept
+BEGINNINGS = 1 << 16  # so many at most
 
 
 def byte_letters() -> dict[str, int]:
@@ -66,6 +70,7 @@ class MergeAutomaton:
         for number, (left, right, merged) in enumerate(merges):
             self._gadget(number, left, right, merged)
         self.arcs.clear()  # only what text needs is kept from here on
+        self.begun: dict[bytes, tuple[int, list[int]]] = {}
         self._link_labels()
 
     def _link_labels(self) -> None:
@@ -122,31 +127,49 @@ class MergeAutomaton:
             self.arcs[state, arc] = known
         return known
 
-    def encode(self, word: bytes) -> list[int]:
-        """The ids on the only path that spells the word."""
-        size = len(word)
-        state = [-1] * (size + 1)
-        arcs, cut_at, follow, shorter, ends = self.arcs, self.cut_at, self.next, self.shorter, self.ends
-        node = place = 0
-        for byte in word:
-            place += 1
-            while byte not in follow[node]:
+    def _walk(self, part: bytes, node: int, state: list[int]) -> int:
+        """Append the state after each byte of ``part``; ``node`` is that of the table before it, the result that after it."""
+        known, cut_at, follow, shorter, ends = self.arcs.get, self.cut_at, self.next, self.shorter, self.ends
+        place = len(state)
+        for byte in part:
+            step = follow[node]
+            while byte not in step:
                 node = shorter[node]
-            node = follow[node][byte]
+                step = follow[node]
+            node = step[byte]
             for token, length in ends[node]:
                 if length == place:
-                    state[place] = token
                     break
-                before = state[place - length]
-                until = arcs.get((before, token))
-                if (cut_at(before, token) if until is None else until) == NEVER:
-                    state[place] = token
+                arc = state[place - length], token
+                until = known(arc)
+                if (cut_at(*arc) if until is None else until) == NEVER:
                     break
+            state.append(token)
+            place += 1
+        return node
+
+    def encode(self, word: bytes) -> list[int]:
+        """The ids on the only path that spells the word."""
+        beginning = word[:BEGINNING]
+        begun = self.begun.get(beginning)
+        if begun is None:
+            state = [-1]
+            begun = self._walk(beginning, 0, state), state
+            if len(self.begun) >= BEGINNINGS:
+                self.begun.clear()
+            self.begun[beginning] = begun
+        node, state = begun
+        size = len(word)
+        if size > BEGINNING:
+            state = state.copy()
+            self._walk(word[BEGINNING:], node, state)
         path, label = [], self.label
         while size:
-            path.append(state[size])
-            size -= len(label[state[size]])
-        return path[::-1]
+            token = state[size]
+            path.append(token)
+            size -= len(label[token])
+        path.reverse()
+        return path
 
 
 class Tokenizer:
@@ -165,28 +188,37 @@ class Tokenizer:
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.split = regex.compile(SPLIT)
         # A chunk is white space and what follows it. No match of the split goes on past the end of a chunk.
-        self.chunks = regex.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+        self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+        # A word is one match of the split by itself too, so chunks and words share one memory.
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
-        ids = self.automaton.encode(word.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.words) >= REMEMBERED // 2:
-            self.words.clear()
-        if len(word) <= 64:
-            self.words[word] = packed
-        return packed
-
-    def _chunk(self, chunk: str) -> bytes:
-        known, new = self.words.get, self._word
-        packed = b"".join([known(word) or new(word) for word in self.split.findall(chunk)])
+    def _remember(self, part: str, packed: bytes) -> bytes:
+        """Keep what a part is encoded to. When the memory is full, parts not met again until it next is are forgotten."""
         if len(self.known) >= REMEMBERED:
+            self.older = self.known.copy()
             self.known.clear()
-        if len(chunk) <= 64:
-            self.known[chunk] = packed
+        if len(part) <= 64:
+            self.known[part] = packed
         return packed
 
+    def _word(self, word: str) -> bytes:
+        packed = self.older.get(word)
+        if packed is None:
+            ids = self.automaton.encode(word.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        return self._remember(word, packed)
+
+    def _chunk(self, chunk: str) -> bytes:
+        packed = self.older.get(chunk)
+        if packed is None:
+            words = self.split.findall(chunk)
+            if len(words) == 1:
+                return self._word(chunk)
+            known, new = self.known.get, self._word
+            packed = b"".join([known(word) or new(word) for word in words])
+        return self._remember(chunk, packed)
+
     def _plain(self, text: str) -> bytes:
         known, new = self.known.get, self._chunk
         return b"".join([known(chunk) or new(chunk) for chunk in self.chunks.findall(text)])
