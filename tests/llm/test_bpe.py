@@ -89,3 +89,25 @@ def test_words_with_the_same_beginning_and_forgotten_beginnings(reference, monke
     for word in words:
         assert np.frombuffer(own.encode(word), dtype="<u4").tolist() == reference.encode(word, add_special_tokens=False).ids, word
     assert len(own.automaton.begun) <= 3
+
+
+def test_a_task_leaves_no_memory_of_its_texts_to_the_next(spark):
+    path = PATH
+
+    def left(batches):
+        for batch in batches:
+            own = bpe.tokenizer(path)
+            yield batch.assign(left=len(own.known) + len(own.older) + len(own.automaton.arcs) + len(own.automaton.begun))[["left"]]
+
+    docs = spark.createDataFrame([(f"word{n} and more of them, {n}",) for n in range(200)], "text string").coalesce(1)
+    for _ in range(2):
+        assert docs.select(bpe.encode(bpe.F.col("text"), path).alias("ids")).filter("length(ids) > 0").count() == 200
+    assert {r.left for r in spark.range(16, numPartitions=16).mapInPandas(left, "left long").collect()} == {0}
+
+
+def test_forgetting_changes_no_encoding():
+    own = bpe.Tokenizer(PATH)
+    before = own.encode("Some words, 12 of them; überall")
+    assert own.known
+    own.forget()
+    assert not own.known and not own.older and own.encode("Some words, 12 of them; überall") == before

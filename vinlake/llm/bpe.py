@@ -219,6 +219,11 @@ class Tokenizer:
             packed = b"".join([known(word) or new(word) for word in words])
         return self._remember(chunk, packed)
 
+    def forget(self) -> None:
+        """Let go of all that was met so far; the automaton stays."""
+        for memory in (self.known, self.older, self.automaton.arcs, self.automaton.begun):
+            memory.clear()
+
     def _plain(self, text: str) -> bytes:
         known, new = self.known.get, self._chunk
         return b"".join([known(chunk) or new(chunk) for chunk in self.chunks.findall(text)])
@@ -248,15 +253,20 @@ def tokenizer(path: str) -> Tokenizer:
 def encode(text: Column, path: str) -> Column:
     """Token ids of a text as BINARY, four little-endian bytes each; NULL gives none, like the empty text.
 
-    ``path`` names a byte-level vocabulary file that is installed on every executor.
+    ``path`` names a byte-level vocabulary file that is installed on every executor. What a task has met is forgotten
+    with it: Python workers stay for the stages and jobs that follow, and these need their executor's memory themselves.
     """
 
     short_batches()
 
     @F.pandas_udf(BinaryType())
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([tokenizer(path).encode(one) for one in texts], dtype=object)
+        own = tokenizer(path)
+        try:
+            for texts in batches:
+                yield pd.Series([own.encode(one) for one in texts], dtype=object)
+        finally:
+            own.forget()
 
     return apply(text)
 
