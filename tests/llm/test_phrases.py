@@ -105,3 +105,14 @@ def test_edges_are_shuffled_once(spark, folder):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning(first") == 1
     assert plan.split("Initial Plan")[0].count("Exchange ") == 2
+
+
+def test_edges_are_spelled_with_salt_and_without_what_fills_them_up(spark):
+    docs = spark.createDataFrame([("go é x. go é x. go. é go", "f\nr")], "text string, lang string").coalesce(1)
+    texts = docs.select("lang", phrases.F.col("text").cast("binary").alias("bytes"))
+    for longest, expected in ((2, {"é": 2, "": 2}), (3, {"é x": 2, "": 2}), (4, {"é x": 2, "": 2})):
+        found = phrases.edges(texts, longest, set()).collect()
+        assert {r.rest: r.n for r in found if r.first == "go\n\nf\nr"} == expected
+        assert [(r.first, r.rest, r.n) for r in found if r.first.startswith("\n")] == [("\n\nf\nr", "", 9)]
+    salted = {r.first for r in phrases.edges(texts, 3, {("f\nr", b"go")}).collect() if r.first.startswith("go\n")}
+    assert len(salted) == 2 and all(first.split("\n", 2)[1][0] == "s" for first in salted)

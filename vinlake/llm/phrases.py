@@ -21,6 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,13 +98,15 @@ def edges(docs: DataFrame, longest: int, heavy: set) -> DataFrame:
     """
 
     def spell(lang: str, counted: Counter) -> pa.RecordBatch:
-        hot, behind = {word for one, word in heavy if one == lang}, b"\n" + lang.encode()
-        first = [edge[0] + b"\n" + (_salt(lang, edge, heavy) if edge[0] in hot else b"") + behind for edge in counted]
-        rest = [b" ".join(edge[1:]).rstrip(b" ") for edge in counted]
-        arrays = [pa.array(first, pa.binary()).cast(pa.string()), pa.array(rest, pa.binary()).cast(pa.string())]
-        batch = pa.RecordBatch.from_arrays([*arrays, pa.array(list(counted.values()), pa.int64())], names=["first", "rest", "n"])
+        hot = {word for one, word in heavy if one == lang}
+        words = [pa.array([edge[place] for edge in counted], pa.binary()) for place in range(longest)]
+        salts = pa.array([_salt(lang, edge, heavy) if edge[0] in hot else b"" for edge in counted], pa.binary())
+        language, line, space = (pa.scalar(part, pa.binary()) for part in (lang.encode(), b"\n", b" "))
+        first = pc.binary_join_element_wise(words[0], salts, language, line).cast(pa.string())
+        rest = pc.ascii_rtrim(pc.binary_join_element_wise(*words[1:], space).cast(pa.string()), " ")
+        batch = pa.RecordBatch.from_arrays([first, rest, pa.array(list(counted.values()), pa.int64())], names=["first", "rest", "n"])
         # Edges with the same first word follow each other, which shuffle files compress well.
-        return batch.take(pa.array(np.argsort(np.fromiter((hash(edge[0]) for edge in counted), np.int64, len(counted)))))
+        return batch.take(pa.array(np.argsort(np.fromiter(map(hash, [edge[0] for edge in counted]), np.int64, len(counted)))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # millions of small tuples, none in a circle
